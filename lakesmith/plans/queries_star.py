@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import UNKNOWN_KEY
-from ..operators.pit import asof_lookup, point_in_time_join
+from ..operators.pit import point_in_time_join
 from ..operators.scd2 import change_detection
 from . import silver as S
 from . import star as T
@@ -149,17 +149,9 @@ def q_scd2_version_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pit_recompute_arg_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Independent recomputation of the tier in force at booking time (as-of lookup on the raw
     staging history) next to the tier the fact resolved through the SCD2 windows."""
-    star = _star(spark, sf_dir)
-    expected = asof_lookup(
-        star.stg_bookings.select("booking_id", "passenger_id", "booking_date"),
-        star.stg_passengers, ["passenger_id"], "booking_date", "updated_at", ["loyalty_tier"], prefix="expected_",
-    )
-    resolved = star.fact_bookings.select("booking_id", "passenger_key").join(
-        star.dim_passenger.select("passenger_key", F.col("loyalty_tier").alias("resolved_tier")), "passenger_key"
-    )
-    return expected.join(resolved, "booking_id").select(
-        "booking_id", "passenger_key", F.col("expected_loyalty_tier").alias("expected_tier"), "resolved_tier"
-    )
+    from .quality import tier_recompute
+
+    return tier_recompute(_star(spark, sf_dir))
 
 
 @query("order_by_all")
