@@ -178,3 +178,26 @@ def star_from_silver(inputs: S.SilverInputs) -> Star:
         stg_passengers(S.silver_passengers(inputs)),
         stg_routes(S.silver_routes(inputs)),
     )
+
+
+def materialized_star(stg_b: DataFrame, stg_p: DataFrame, stg_r: DataFrame) -> Star:
+    """The star with every shared table checkpointed once (for suites that read each table many
+    times, such as the data-quality checks)."""
+    from ..session import materialize
+
+    stg_b, stg_p, stg_r = materialize(stg_b), materialize(stg_p), materialize(stg_r)
+    dates = materialize(booking_calendar(stg_b))
+    dim_r = materialize(build_dim_route(stg_r))
+    dim_p = materialize(build_dim_passenger(stg_p))
+    fact = materialize(build_fact_bookings(stg_b, dim_p, dim_r))
+    return Star(
+        stg_bookings=stg_b,
+        stg_passengers=stg_p,
+        stg_routes=stg_r,
+        dim_date=dates,
+        dim_route=dim_r,
+        dim_passenger=dim_p,
+        fact_bookings=fact,
+        mart_daily_route_revenue=materialize(build_mart_daily_route_revenue(fact, dates, dim_r)),
+        mart_revenue_by_loyalty_tier=materialize(build_mart_revenue_by_loyalty_tier(fact, dim_p, dates)),
+    )

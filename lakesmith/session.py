@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -60,3 +61,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared scratch root (nothing is ever reused or deleted)."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared scratch folder: cuts the lineage of a frame that several
+    later branches read, so it is computed once and a lost executor does not replay its history."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -41,13 +41,19 @@ def read_text_csv(
     )
 
 
-def write_text_csv(df: DataFrame, path: str, partition_columns: Sequence[str] = ()) -> None:
+def _cluster(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartitionByRange(slices, *[F.col(c) for c in columns])
+
+
+def write_text_csv(
+    df: DataFrame, path: str, partition_columns: Sequence[str] = (), cluster_by: Sequence[str] = ()
+) -> None:
     """Write text columns as CSV with a header, keeping outer blanks verbatim."""
-    writer = df
     if partition_columns:
-        writer = df.repartition(*[F.col(c) for c in partition_columns])
+        df = _cluster(df, [*partition_columns, *cluster_by])
     out = (
-        writer.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -57,14 +63,23 @@ def write_text_csv(df: DataFrame, path: str, partition_columns: Sequence[str] =
     out.csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_columns: Sequence[str] = ()) -> None:
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    partition_columns: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> None:
     """Overwrite a Parquet directory; optionally Hive-partitioned.
 
-    For a partitioned write the rows are first hash-distributed by the partition value, so a date
-    partition is produced by one task (one file per date) instead of one file per task and date.
+    For a partitioned write the rows are first *range*-partitioned on the partition value plus
+    ``cluster_by`` (for example the row key) into ``spark.sql.shuffle.partitions`` slices: every
+    task covers a contiguous slice of partition values and writes one file per value it holds,
+    while a single very large partition value is still split across several tasks by the sampled
+    range bounds. The slice count is explicit because adaptive coalescing would otherwise merge
+    small slices into one task that then writes every partition folder serially.
     """
     if partition_columns:
-        df = df.repartition(*[F.col(c) for c in partition_columns])
+        df = _cluster(df, [*partition_columns, *cluster_by])
         df.write.mode("overwrite").partitionBy(*partition_columns).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
