@@ -181,15 +181,16 @@ def star_from_silver(inputs: S.SilverInputs) -> Star:
 
 
 def materialized_star(stg_b: DataFrame, stg_p: DataFrame, stg_r: DataFrame) -> Star:
-    """The star with every shared table checkpointed once (for suites that read each table many
-    times, such as the data-quality checks)."""
+    """The star with every shared table written once to the shared scratch folder and read back
+    (for suites that read each table many times, such as the data-quality checks)."""
     from ..session import materialize
 
-    stg_b, stg_p, stg_r = materialize(stg_b), materialize(stg_p), materialize(stg_r)
-    dates = materialize(booking_calendar(stg_b))
-    dim_r = materialize(build_dim_route(stg_r))
-    dim_p = materialize(build_dim_passenger(stg_p))
-    fact = materialize(build_fact_bookings(stg_b, dim_p, dim_r))
+    stg_b, stg_p = materialize(stg_b, "stg-bookings"), materialize(stg_p, "stg-passengers")
+    stg_r = materialize(stg_r, "stg-routes")
+    dates = materialize(booking_calendar(stg_b), "dim-date")
+    dim_r = materialize(build_dim_route(stg_r), "dim-route")
+    dim_p = materialize(build_dim_passenger(stg_p), "dim-passenger")
+    fact = materialize(build_fact_bookings(stg_b, dim_p, dim_r), "fact-bookings")
     return Star(
         stg_bookings=stg_b,
         stg_passengers=stg_p,
@@ -198,6 +199,6 @@ def materialized_star(stg_b: DataFrame, stg_p: DataFrame, stg_r: DataFrame) -> S
         dim_route=dim_r,
         dim_passenger=dim_p,
         fact_bookings=fact,
-        mart_daily_route_revenue=materialize(build_mart_daily_route_revenue(fact, dates, dim_r)),
-        mart_revenue_by_loyalty_tier=materialize(build_mart_revenue_by_loyalty_tier(fact, dim_p, dates)),
+        mart_daily_route_revenue=materialize(build_mart_daily_route_revenue(fact, dates, dim_r), "mart-route"),
+        mart_revenue_by_loyalty_tier=materialize(build_mart_revenue_by_loyalty_tier(fact, dim_p, dates), "mart-tier"),
     )

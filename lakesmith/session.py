@@ -63,8 +63,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df):
-    """Reliable checkpoint into the shared scratch folder: cuts the lineage of a frame that several
-    later branches read, so it is computed once and a lost executor does not replay its history."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet below the shared scratch folder and return the read-back.
+
+    Cuts the lineage of a frame that several later branches read: it is computed once (an eager
+    reliable ``checkpoint()`` would compute an unpersisted plan twice, once to count and once to
+    write), a lost executor does not replay its history, and the planner sees real file sizes.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
