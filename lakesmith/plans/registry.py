@@ -28,7 +28,7 @@ def all_queries() -> dict[str, QueryFn]:
     # importing the modules registers their queries
     from . import queries_silver  # noqa: F401
 
-    for optional in ("queries_star", "queries_checks", "queries_io", "queries_native"):
+    for optional in ("queries_star", "queries_checks", "queries_io", "queries_native", "queries_streaming"):
         try:
             __import__(f"{__package__}.{optional}")
         except ModuleNotFoundError as exc:

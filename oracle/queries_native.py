@@ -90,3 +90,5 @@ SELECT 'silver_bookings' AS table_name, count(*) AS left_rows, count(*) AS right
 UNION ALL SELECT 'silver_passengers', count(*), count(*), 0, 0 FROM s_passengers
 UNION ALL SELECT 'silver_routes', count(*), count(*), 0, 0 FROM s_routes
 """)
+
+sql("incremental_silver_bookings", ("s_bookings",), "SELECT * FROM s_bookings")
