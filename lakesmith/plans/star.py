@@ -87,9 +87,15 @@ def build_dim_passenger(stg_p: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------- fact
-def build_fact_bookings(stg_b: DataFrame, dim_p: DataFrame, dim_r: DataFrame) -> DataFrame:
-    """Grain: one row per booking; passenger version resolved at the booking date."""
-    versions = dim_p.select(
+def build_fact_bookings(stg_b: DataFrame, versions: DataFrame, dim_r: DataFrame) -> DataFrame:
+    """Grain: one row per booking; passenger version resolved at the booking date.
+
+    ``versions`` are the passenger versions *without* the unknown member: a booking that matches
+    no version gets ``-1`` from the coalesce, exactly as a match on the unknown member would, and
+    the join keeps the ``passenger_id`` hash partitioning that the SCD2 windows already produced
+    (a UNION with the literal member row would discard it and force another shuffle of the dim).
+    """
+    versions = versions.where(F.col("passenger_key") != UNKNOWN_KEY).select(
         F.col("passenger_key"), F.col("passenger_id").alias("__pid"), "valid_from", "valid_to"
     )
     routes = dim_r.select("route_key", F.col("route_code").alias("__rcode"))
@@ -157,8 +163,9 @@ class Star:
 def build_star(stg_b: DataFrame, stg_p: DataFrame, stg_r: DataFrame) -> Star:
     dates = booking_calendar(stg_b)
     dim_r = build_dim_route(stg_r)
-    dim_p = build_dim_passenger(stg_p)
-    fact = build_fact_bookings(stg_b, dim_p, dim_r)
+    versions = passenger_versions(stg_p)
+    dim_p = unknown_member(versions, UNKNOWN_PASSENGER)
+    fact = build_fact_bookings(stg_b, versions, dim_r)
     return Star(
         stg_bookings=stg_b,
         stg_passengers=stg_p,
