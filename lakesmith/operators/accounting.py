@@ -79,3 +79,33 @@ def identity(dataset: str, classified: DataFrame, silver: DataFrame, reason_colu
             "balanced"
         ),
     )
+
+
+def account_by_key(dataset: str, classified: DataFrame, key, reason_column: str = REASON) -> DataFrame:
+    """Same long-form metrics as :func:`account` in ONE pass over the classified rows, without
+    running the de-duplication: silver keeps exactly one row per distinct key of the accepted
+    rows, so ``silver_rows`` is the accepted group's distinct-key count.
+
+    Plan: partial aggregate on (reason, key) -> shuffle -> tiny aggregate on reason. A key with a
+    huge number of copies collapses map-side before anything is shuffled.
+    """
+    per_key = classified.groupBy(F.col(reason_column).alias("reason"), *key).agg(F.count(F.lit(1)).alias("n"))
+    per_reason = per_key.groupBy("reason").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"))
+    accepted_ = F.col("reason").isNull()
+    t = per_reason.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("landing_rows"),
+        F.coalesce(F.sum(F.when(accepted_, F.col("rows"))), F.lit(0)).alias("accepted"),
+        F.coalesce(F.sum(F.when(accepted_, F.col("keys"))), F.lit(0)).alias("silver_rows"),
+    )
+    summary = t.select(
+        F.lit(dataset).alias("dataset"),
+        F.expr(
+            "stack(4, 'landing_rows', landing_rows, 'silver_rows', silver_rows, "
+            "'rejected', landing_rows - accepted, 'duplicates_removed', accepted - silver_rows) as (metric, value)"
+        ),
+    ).select("dataset", "metric", F.lit(None).cast("string").alias("reason"), F.col("value").cast("bigint"))
+    by_reason = per_reason.where(~accepted_).select(
+        F.lit(dataset).alias("dataset"), F.lit("rejected_by_reason").alias("metric"), "reason",
+        F.col("rows").cast("bigint").alias("value"),
+    )
+    return summary.unionByName(by_reason)

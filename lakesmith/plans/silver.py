@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.accounting import account, identity, row_count_metric
+from ..operators.accounting import account_by_key, identity, row_count_metric
 from ..operators.classify import MissingAny, Negative, NotAccepted, NotInReference, accepted, classify, quarantine
 from ..operators.cleanse import ColumnSpec, cleanse
 from ..operators.dedupe import dedupe_latest
@@ -153,12 +153,10 @@ def quarantine_passengers(inputs: SilverInputs) -> DataFrame:
 # ------------------------------------------------------------------------------------- accounting
 def accounting_metrics(inputs: SilverInputs) -> DataFrame:
     """Long-form metrics of all three datasets (the reference's nested metrics dict, flattened)."""
-    b = classify_bookings(inputs)
-    p = classify_passengers(inputs)
     return (
         row_count_metric("routes", "silver_rows", silver_routes(inputs))
-        .unionByName(account("bookings", b, dedupe_bookings(b)))
-        .unionByName(account("passengers", p, dedupe_passengers(p)))
+        .unionByName(account_by_key("bookings", classify_bookings(inputs), BOOKING_KEY))
+        .unionByName(account_by_key("passengers", classify_passengers(inputs), PASSENGER_KEY))
     )
 
 

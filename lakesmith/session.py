@@ -53,7 +53,10 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="lakesmith-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:  # Spark Connect: no SparkContext; the conf entry is enough for our writes
+        pass
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
