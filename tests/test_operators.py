@@ -123,3 +123,11 @@ def test_overlap_sweep_counts_pairs_like_a_self_join(spark):
         if a[0] == b[0] and a[3] < b[3] and a[1] < b[2] and b[1] < a[2]
     )
     assert got == brute
+
+
+def test_rule_order_is_the_documented_reason_order(spark):
+    from lakesmith.plans import silver as S
+
+    routes = spark.createDataFrame([("A-B",)], "route_code string")
+    assert tuple(r.reason for r in S.booking_rules(routes)) == S.BOOKING_REASONS
+    assert tuple(r.reason for r in S.PASSENGER_RULES) == S.PASSENGER_REASONS
