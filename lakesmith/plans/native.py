@@ -19,7 +19,9 @@ from ..operators import checks as C
 from ..operators.dedupe import dedupe_latest
 from ..operators.dims import calendar_bounds, date_spine, dim_date
 from ..operators.pit import point_in_time_join
-from ..operators.scd2 import scd2
+import datetime as dt
+
+from ..operators.scd2 import scd2, scd2_ranged
 from ..sources.tables import table
 
 # TPC-H domains.
@@ -48,6 +50,19 @@ def user_state_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_state_scd2_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD2 of each user's event type at event-time grain. A user's history is unbounded here (a
+    single user may own a third of all events), so the skew-safe range-partitioned variant is
+    used instead of per-user windows."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    history = dedupe_latest(e, ["user_id", "ts"], [("event_id", True)]).select("user_id", "event_type", "ts")
+    return scd2_ranged(
+        history, key=["user_id"], tracked=["event_type"], version="ts", surrogate="user_key",
+        first_seen="first_seen_ts", open_start=dt.datetime(1900, 1, 1), open_end=dt.datetime(9999, 12, 31),
+        version_text=lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    )
+
+
 def purchases_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = user_state_scd2(spark, sf_dir).select(
         "user_key", F.col("user_id").alias("__uid"), "valid_from", "valid_to", F.col("event_type").alias("state_in_force")

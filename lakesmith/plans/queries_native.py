@@ -15,6 +15,7 @@ from .registry import query
 for _name, _fn in [
     ("events_latest_per_user_type", N.events_latest_per_user_type),
     ("events_user_scd2", N.user_state_scd2),
+    ("events_user_scd2_ts", N.user_state_scd2_ts),
     ("events_pit_purchases", N.purchases_in_force),
     ("lineitem_ship_mart", N.lineitem_ship_mart),
     ("dq_tpch", N.dq_tpch),

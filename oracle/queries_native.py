@@ -92,3 +92,28 @@ UNION ALL SELECT 'silver_routes', count(*), count(*), 0, 0 FROM s_routes
 """)
 
 sql("incremental_silver_bookings", ("s_bookings",), "SELECT * FROM s_bookings")
+
+SQL["events_user_scd2_ts"] = """
+WITH hist AS (
+  SELECT user_id, event_type, ts FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM events)
+  WHERE rn = 1
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS version_no,
+         lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prev_type,
+         min(ts) OVER (PARTITION BY user_id) AS first_seen_ts
+  FROM hist
+),
+changes AS (SELECT * FROM ordered WHERE version_no = 1 OR event_type IS DISTINCT FROM prev_type),
+windows AS (
+  SELECT *, CASE WHEN version_no = 1 THEN TIMESTAMP '1900-01-01 00:00:00' ELSE ts END AS valid_from,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_change
+  FROM changes
+)
+SELECT md5(CAST(user_id AS VARCHAR) || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS user_key,
+       user_id, event_type, first_seen_ts, valid_from,
+       coalesce(next_change, TIMESTAMP '9999-12-31 00:00:00') AS valid_to,
+       next_change IS NULL AS is_current
+FROM windows
+"""

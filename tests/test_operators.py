@@ -131,3 +131,27 @@ def test_rule_order_is_the_documented_reason_order(spark):
     routes = spark.createDataFrame([("A-B",)], "route_code string")
     assert tuple(r.reason for r in S.booking_rules(routes)) == S.BOOKING_REASONS
     assert tuple(r.reason for r in S.PASSENGER_RULES) == S.PASSENGER_REASONS
+
+
+def test_ranged_scd2_equals_window_scd2_with_a_hot_key(spark):
+    from lakesmith.operators.scd2 import scd2_ranged
+
+    rnd = random.Random(11)
+    rows = {}
+    base = dt.datetime(2024, 1, 1)
+    for i in range(1500):
+        k = "hot" if i % 3 == 0 else f"k{rnd.randrange(40)}"  # one key holds a third of the rows
+        t = base + dt.timedelta(seconds=rnd.randrange(10**6), microseconds=rnd.randrange(10**6))
+        rows[(k, t)] = (k, rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), t)
+    h = spark.createDataFrame(list(rows.values()), "id string, tier string, kind string, ts timestamp_ntz")
+    start, end = dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31)
+    fmt = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    a = scd2(h, ["id"], ["tier", "kind"], "ts", open_start=start, open_end=end)
+    b = scd2_ranged(h, ["id"], ["tier", "kind"], "ts", open_start=start, open_end=end, version_text=fmt)
+    cols = ["id", "tier", "kind", "first_seen_date", "valid_from", "valid_to", "is_current"]
+    from collections import Counter
+
+    expected = Counter(tuple(r) for r in a.select(*cols).collect())
+    assert Counter(tuple(r) for r in b.select(*cols).collect()) == expected
+    assert sum(expected.values()) > 100
+    assert b.select("surrogate_key").distinct().count() == b.count()
