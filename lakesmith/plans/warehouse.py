@@ -167,7 +167,17 @@ def publish(spark: SparkSession, inputs: S.SilverInputs, root: str, run_id: str
     gate(read_parquet(spark, _p(run_dir, "_checks")))
     pointer = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(run_dir).alias("path"))
     pointer.coalesce(1).write.mode("overwrite").json(_p(root, "current"))
-    return {"run_id": run_id, "run_dir": run_dir, "silver": paths.root}
+    return {"run_id": run_id, "run_dir": run_dir, "silver": paths.root, "views": register_views(spark, run_dir)}
+
+
+def register_views(spark: SparkSession, run_dir: str, prefix: str = "") -> list[str]:
+    """Expose the tables of a published run as temporary views (lazy scans of the written
+    Parquet), so the star can be queried with ``spark.sql``."""
+    names = []
+    for t in STAR_TABLES:
+        read_parquet(spark, _p(run_dir, t)).createOrReplaceTempView(prefix + t)
+        names.append(prefix + t)
+    return names
 
 
 def current_run(spark: SparkSession, root: str) -> str:

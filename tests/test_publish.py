@@ -23,5 +23,6 @@ def test_publish_and_rebuild(spark):
         metrics[("bookings", "silver_rows", None)] + metrics[("bookings", "rejected", None)]
         + metrics[("bookings", "duplicates_removed", None)]
     )
+    assert spark.sql("SELECT count(*) AS n FROM fact_bookings").first()["n"] == fact.count()
     silver = read_parquet(spark, W.SilverPaths(root).bookings)
     assert "booking_date" in silver.columns and silver.count() == fact.count()
