@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fragments import F, frag
+from .fragments import frag
 from .queries import sql
 
 
@@ -124,4 +124,3 @@ frag("dq_all", STAR + ("exp_tier",), "\nUNION ALL\n".join(f"SELECT * FROM ({CHEC
 for _name, _body in CHECKS.items():
     sql(_name, STAR + ("exp_tier",), _body)
 sql("dq_summary", ("dq_all",), "SELECT * FROM dq_all")
-_ = F
