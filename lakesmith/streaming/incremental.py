@@ -38,12 +38,12 @@ from ..sources.files import text_schema
 from ..sources.landing import BOOKING_COLUMNS
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _open(spark: SparkSession, path: str) -> DataFrame | None:
+    """The silver table, or None before the first batch (opened once: one listing per batch)."""
     try:
-        spark.read.parquet(path).schema
-        return True
+        return spark.read.parquet(path)
     except Exception:
-        return False
+        return None
 
 
 def merge_bookings_batch(
@@ -59,11 +59,12 @@ def merge_bookings_batch(
     quarantine(cb, BOOKING_COLUMNS).write.mode("overwrite").parquet(os.path.join(quarantine_path, f"epoch={epoch_id}"))
 
     new_latest = S.dedupe_bookings(cb)
-    if not _exists(spark, silver_path):
+    current = _open(spark, silver_path)
+    if current is None:
         _write_silver(new_latest, silver_path, dynamic=False)
         return
 
-    old = spark.read.parquet(silver_path).select(*S.SILVER_BOOKING_COLUMNS)
+    old = current.select(*S.SILVER_BOOKING_COLUMNS)
     keys = new_latest.select("booking_id").distinct()
     old_affected = old.join(keys, "booking_id", "left_semi")
     merged = dedupe_latest(
