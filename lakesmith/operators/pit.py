@@ -79,3 +79,64 @@ def asof_lookup(
         [probes[k] == resolved[k] for k in key] + [probes[probe_time] == resolved["__t"]],
         "left",
     ).drop(*[resolved[k] for k in key]).drop("__t")
+
+
+def asof_lookup_ranged(
+    probes: DataFrame,
+    history: DataFrame,
+    key: Sequence[str],
+    probe_time: str,
+    history_time: str,
+    values: Sequence[str],
+    prefix: str = "asof_",
+) -> DataFrame:
+    """:func:`asof_lookup` for histories without a per-key bound (e.g. timestamp grain).
+
+    Probes and history are range-partitioned together on (key, time, side), so a hot key spans
+    many tasks; the carry-forward window is partitioned by (range partition, key) and therefore
+    never holds more than one partition. The value in force when a key's rows start in a later
+    partition is the last history row of the earlier partitions (one boundary row per partition,
+    a size bound known from the partition count), used when it belongs to the same key.
+    """
+    from ..session import materialize
+
+    distinct_probes = probes.select(*key, F.col(probe_time).alias("__t")).distinct()
+    hist = history.where(F.col(history_time).isNotNull()).select(
+        *key, F.col(history_time).alias("__t"), F.lit(0).alias("__side"),
+        F.struct(*[F.col(v) for v in values]).alias("__val"),
+    )
+    lookups = distinct_probes.select(
+        *key, "__t", F.lit(1).alias("__side"), F.lit(None).cast(hist.schema["__val"].dataType).alias("__val")
+    )
+    order = [*key, "__t", "__side"]
+    slices = int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = hist.unionByName(lookups).repartitionByRange(slices, *order)
+    events = materialize(ranged.withColumn("__part", F.spark_partition_id()), "asof-events")
+
+    keys = F.struct(*[F.col(k) for k in key])
+    local = Window.partitionBy("__part", *key).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    by_time = F.struct(*[F.col(c) for c in order])
+    last_hist = (
+        events.where(F.col("__side") == 0)
+        .groupBy("__part")
+        .agg(F.max_by(F.struct(keys.alias("k"), F.col("__val").alias("v")), by_time).alias("__last"))
+    )
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    carry = last_hist.select("__part", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    resolved = (
+        events.withColumn("__local", F.last("__val", ignorenulls=True).over(local))
+        .where(F.col("__side") == 1)
+        .join(F.broadcast(carry), "__part", "left")
+        .select(
+            *key, "__t",
+            F.coalesce(
+                F.col("__local"), F.when(keys.eqNullSafe(F.col("__carry.k")), F.col("__carry.v"))
+            ).alias("__in_force"),
+        )
+    )
+    resolved = resolved.select(*key, "__t", *[F.col(f"__in_force.{v}").alias(prefix + v) for v in values])
+    return probes.join(
+        resolved,
+        [probes[k] == resolved[k] for k in key] + [probes[probe_time] == resolved["__t"]],
+        "left",
+    ).drop(*[resolved[k] for k in key]).drop("__t")

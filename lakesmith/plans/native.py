@@ -18,7 +18,7 @@ from ..functions.keys import UNKNOWN_KEY, date_key
 from ..operators import checks as C
 from ..operators.dedupe import dedupe_latest
 from ..operators.dims import calendar_bounds, date_spine, dim_date
-from ..operators.pit import point_in_time_join
+from ..operators.pit import asof_lookup_ranged, point_in_time_join
 import datetime as dt
 
 from ..operators.scd2 import scd2, scd2_ranged
@@ -63,6 +63,17 @@ def user_state_scd2_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def purchases_prior_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the type of the user's latest non-purchase event at or before it
+    (as-of at event-time grain, so the range-partitioned lookup is used)."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    purchases = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    others = dedupe_latest(
+        e.where(F.col("event_type") != "purchase"), ["user_id", "ts"], [("event_id", True)]
+    ).select("user_id", "ts", F.col("event_type").alias("prior_event_type"))
+    return asof_lookup_ranged(purchases, others, ["user_id"], "ts", "ts", ["prior_event_type"], prefix="")
+
+
 def purchases_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = user_state_scd2(spark, sf_dir).select(
         "user_key", F.col("user_id").alias("__uid"), "valid_from", "valid_to", F.col("event_type").alias("state_in_force")

@@ -117,3 +117,15 @@ SELECT md5(CAST(user_id AS VARCHAR) || '|' || strftime(valid_from, '%Y-%m-%d %H:
        next_change IS NULL AS is_current
 FROM windows
 """
+
+SQL["events_asof_prior_event"] = """
+WITH others AS (
+  SELECT user_id, ts, event_type AS prior_event_type FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn
+    FROM events WHERE event_type <> 'purchase')
+  WHERE rn = 1
+),
+purchases AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
+SELECT p.event_id, p.user_id, p.ts, o.prior_event_type
+FROM purchases p ASOF LEFT JOIN others o ON p.user_id = o.user_id AND p.ts >= o.ts
+"""

@@ -155,3 +155,26 @@ def test_ranged_scd2_equals_window_scd2_with_a_hot_key(spark):
     assert Counter(tuple(r) for r in b.select(*cols).collect()) == expected
     assert sum(expected.values()) > 100
     assert b.select("surrogate_key").distinct().count() == b.count()
+
+
+def test_ranged_asof_equals_brute_force_with_a_hot_key(spark):
+    from lakesmith.operators.pit import asof_lookup_ranged
+
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    hist = {}
+    for i in range(600):
+        k = "hot" if i % 3 == 0 else f"k{rnd.randrange(10)}"
+        t = t0 + dt.timedelta(seconds=rnd.randrange(5000))
+        hist[(k, t)] = (k, t, rnd.choice(["a", "b", None]))
+    hist = list(hist.values())
+    probes = [(i, "hot" if i % 2 else f"k{rnd.randrange(12)}", t0 + dt.timedelta(seconds=rnd.randrange(5200))) for i in range(900)]
+    h = spark.createDataFrame(hist, "key string, t timestamp_ntz, val string")
+    p = spark.createDataFrame(probes, "id int, key string, pt timestamp_ntz")
+    got = {r["id"]: r["asof_val"] for r in asof_lookup_ranged(p, h, ["key"], "pt", "t", ["val"]).collect()}
+    expected = {}
+    for i, k, t in probes:
+        cands = [(ht, v) for hk, ht, v in hist if hk == k and ht <= t]
+        expected[i] = max(cands, key=lambda c: c[0])[1] if cands else None
+    assert got == expected
+    assert sum(v is not None for v in got.values()) > 300
