@@ -10,10 +10,11 @@ from . import star as T
 from .registry import query
 
 
-def _star(spark: SparkSession, sf_dir: str) -> T.Star:
-    """Checks read every star table several times, so the shared tables are checkpointed once."""
+def _star(spark: SparkSession, sf_dir: str) -> T.LazyStar:
+    """Checks read star tables several times: each table a check needs is written once to the
+    shared scratch folder on first use and read back."""
     inputs = S.landing_inputs(spark, sf_dir)
-    return T.materialized_star(
+    return T.LazyStar(
         T.stg_bookings(S.silver_bookings(inputs)),
         T.stg_passengers(S.silver_passengers(inputs)),
         T.stg_routes(S.silver_routes(inputs)),

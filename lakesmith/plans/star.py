@@ -209,3 +209,61 @@ def materialized_star(stg_b: DataFrame, stg_p: DataFrame, stg_r: DataFrame) -> S
         mart_daily_route_revenue=materialize(build_mart_daily_route_revenue(fact, dates, dim_r), "mart-route"),
         mart_revenue_by_loyalty_tier=materialize(build_mart_revenue_by_loyalty_tier(fact, dim_p, dates), "mart-tier"),
     )
+
+
+class LazyStar:
+    """The star with each table built and written to the shared scratch folder on first use (at
+    most once), so a single check writes only the tables it reads. Attribute names match
+    :class:`Star`."""
+
+    def __init__(self, stg_b: DataFrame, stg_p: DataFrame, stg_r: DataFrame):
+        self._raw = {"stg_bookings": stg_b, "stg_passengers": stg_p}
+        self.stg_routes = stg_r  # tiny, read once (by dim_route)
+        self._done: dict[str, DataFrame] = {}
+
+    def _table(self, name: str, build) -> DataFrame:
+        if name not in self._done:
+            from ..session import materialize
+
+            self._done[name] = materialize(build(), name.replace("_", "-"))
+        return self._done[name]
+
+    @property
+    def stg_bookings(self) -> DataFrame:
+        return self._table("stg_bookings", lambda: self._raw["stg_bookings"])
+
+    @property
+    def stg_passengers(self) -> DataFrame:
+        return self._table("stg_passengers", lambda: self._raw["stg_passengers"])
+
+    @property
+    def dim_date(self) -> DataFrame:
+        return self._table("dim_date", lambda: booking_calendar(self.stg_bookings))
+
+    @property
+    def dim_route(self) -> DataFrame:
+        return self._table("dim_route", lambda: build_dim_route(self.stg_routes))
+
+    @property
+    def dim_passenger(self) -> DataFrame:
+        return self._table("dim_passenger", lambda: build_dim_passenger(self.stg_passengers))
+
+    @property
+    def fact_bookings(self) -> DataFrame:
+        return self._table(
+            "fact_bookings", lambda: build_fact_bookings(self.stg_bookings, self.dim_passenger, self.dim_route)
+        )
+
+    @property
+    def mart_daily_route_revenue(self) -> DataFrame:
+        return self._table(
+            "mart_daily_route_revenue",
+            lambda: build_mart_daily_route_revenue(self.fact_bookings, self.dim_date, self.dim_route),
+        )
+
+    @property
+    def mart_revenue_by_loyalty_tier(self) -> DataFrame:
+        return self._table(
+            "mart_revenue_by_loyalty_tier",
+            lambda: build_mart_revenue_by_loyalty_tier(self.fact_bookings, self.dim_passenger, self.dim_date),
+        )
