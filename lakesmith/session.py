@@ -2,7 +2,7 @@
 
 The cluster owns the session: library code never changes session options. ``local_session`` is
 only for tests and the benchmark, and ``scratch_root`` reads the shared checkpoint folder from the
-session, creating a private one only when none is configured (local runs).
+session.
 """
 
 from __future__ import annotations
@@ -25,44 +25,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect sessions have no SparkContext
-        current = None
-    return current or None
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the session's ``spark.checkpoint.dir``.
 
-    When the session names none (local tests), a private folder is created and registered as the
-    checkpoint directory, so ``DataFrame.checkpoint()`` and staged writes land in the same place.
+    Without it, the folder of ``SparkContext.setCheckpointDir`` is taken. A ``local`` session (tests)
+    with neither gets a folder of its own, since its driver and executors are one process; on a
+    cluster a machine-local folder would be invisible to the executors, so that is an error.
     """
-    configured = _configured_checkpoint_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="lakesmith-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(local)
-    except Exception:  # Spark Connect: no SparkContext; the conf entry is enough for our writes
-        pass
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lakesmith-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared scratch root (nothing is ever reused or deleted)."""
+    """A fresh, unique path below the shared scratch root; ``drop_scratch`` removes it after use."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
@@ -77,3 +65,11 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one staged table below the scratch root, once nothing reads it any more."""
+    if not path.startswith(scratch_root(spark)):
+        raise ValueError(f"{path} is not below the scratch root")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
