@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def utf8_bytes(array: pa.Array) -> list[bytes | None]:
 def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that no piece holds over ``most_bytes`` of text (or one row)."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0).to_pylist()
+        lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0).to_pylist()
         first, total = 0, 0
         for i, n in enumerate(lengths):
             if i > first and total + n > most_bytes:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import url_filter
+from . import bpe, token_files, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -47,3 +48,22 @@ WITH cut AS (
 )
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id
 """
+
+
+@query
+def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, fixed-width packed, written and read back."""
+    return token_files.pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC archives of all pages, equal payloads as revisits, written and read back by byte ranges."""
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all documents and their decoding."""
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)

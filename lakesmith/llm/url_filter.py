@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,10 +168,10 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_column: str = "page_id",
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            counts = pa.compute.list_value_length(at["keys"]).to_numpy(zero_copy_only=False)
+            counts = pc.list_value_length(at["keys"]).to_numpy(zero_copy_only=False)
             row, text = np.repeat(np.arange(b.num_rows), counts), at["keys"].flatten()
             pair = np.stack([at[h].flatten().to_numpy(zero_copy_only=False) for h in ("h0", "h1")], 1).view(np.uint64)
-            size = pa.compute.utf8_length(text).to_numpy(zero_copy_only=False)
+            size = pc.utf8_length(text).to_numpy(zero_copy_only=False)
             best, rule = np.full(b.num_rows, -1), np.full(b.num_rows, -1)
             verdict = np.full(b.num_rows, len(verdicts))
             for v, name in enumerate(verdicts):
