@@ -205,7 +205,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
             if not batch.num_rows:
                 continue
             if writer is None:
-                out = fs.open_output_stream(path)
+                out = fs.open_output_stream(path, compression=None)
                 bits = batch.column(3)[0].as_py()
                 writer = FileWriter(out, bits)
             counts = batch.column(1).to_numpy()

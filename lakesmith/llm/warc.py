@@ -191,7 +191,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_colum
                     answered.add((page_id, digest))
                 data = record(page_id, row["url"], row["payload"], digest, refers)
                 if out is None:
-                    out = fs.open_output_stream(path)
+                    out = fs.open_output_stream(path, compression=None)
                 out.write(data)
                 size += len(data)
         if out is not None:
