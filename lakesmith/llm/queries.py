@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, token_files, url_filter, warc
+from . import bpe, language, simhash, token_files, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -67,3 +67,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all documents and their decoding."""
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
+
+
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of all documents (3-word shingles) and the components linked by 2 or fewer bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; rows of fold 2 of 4 are held out of learning."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
