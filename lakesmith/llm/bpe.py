@@ -18,7 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -32,9 +33,10 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Bytes of text that a task encodes at a time, and distinct pieces whose ids it remembers.
-BLOCK_BYTES, MOST_REMEMBERED = 16 << 20, 400_000
-#: A piece runs from white space up to the next; pattern matches never cross from a piece into the next.
-PIECE = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
+BLOCK_BYTES, MOST_REMEMBERED = 4 << 20, 500_000
+#: A piece is white space with what follows, up to the next white space or the end of its first run of ASCII and
+#: Latin-1 letters before ASCII punctuation (not the apostrophe) or a digit; no pattern match crosses a piece's end.
+PIECE = re.compile(r"[ \n\r\t]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^ \n\r\t!-&(-@\[-`{-~])|[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 #: With any other white space in a text that does not hold, and the pattern is run over the whole text.
 OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -111,24 +113,29 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
 
 
 class Encoder:
-    """Encodes and decodes texts; remembers the ids of pieces, up to a bound."""
+    """Encodes and decodes texts; remembers the ids of the last blocks' pieces, up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        new = {p for p in pieces if p not in self.known}
-        if len(self.known) + len(new) > MOST_REMEMBERED:
-            self.known = {}
-            new = set(pieces)
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.known) > MOST_REMEMBERED:
+            self.older, self.known = self.known, {}
+        new = []
+        for p in pieces - self.known.keys():
+            if (ids := self.older.get(p)) is not None:
+                self.known[p] = ids
+            else:
+                new.append(p)
         matches = {p: self.pattern.findall(p) for p in new}
         words = list({w for ws in matches.values() for w in ws})
         ids = dict(zip(words, replay([w.encode() for w in words], self.ranks), strict=True))
         for p, ws in matches.items():
-            self.known[p] = np.array([i for w in ws for i in ids[w]], "<u4").tobytes()
+            self.known[p] = array("I", [i for w in ws for i in ids[w]]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""

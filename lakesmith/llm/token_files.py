@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +37,7 @@ from .common import crc, filesystem, scratch_uri, slices, staged
 MAGIC, FOOT = b"BPK1", 28
 NULL_ID = -(2**63)
 #: Ids of a block; bytes of text encoded at a time; distinct words whose ids a worker remembers.
-BLOCK_IDS, BLOCK_BYTES, MOST_REMEMBERED = 65536, 16 << 20, 400_000
+BLOCK_IDS, BLOCK_BYTES, MOST_REMEMBERED = 65536, 4 << 20, 600_000
 #: Packed bytes aimed at for a file, and blocks read at a time by one task.
 FILE_BYTES, READ_BLOCKS = 256 << 20, 256
 
@@ -131,11 +133,18 @@ class FileReader:
         return np.concatenate(found)[start - first * self.block : end - first * self.block]
 
 
+#: An ASCII or Latin-1 letter before ASCII punctuation (not the apostrophe) or a digit always ends a pre-token.
+WORD_END = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])(?=[!-&(-@\[-`{-~])")
+PLAIN = re.compile(rb"[a-z]+")
+
+
 class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct word once.
 
-    The vocabulary's normaliser works by character (white space to one space, lower case, NFC, none of
-    which crosses ASCII white space), and its pre-tokeniser drops white space, so a text's ids are its words' ids.
+    The vocabulary's normaliser works by character (white space to one space, lower case, NFC, none of which
+    crosses ASCII white space) and its pre-tokeniser drops white space, so a text's ids are its
+    words' ids. Words of a-z alone need neither and go to the library's model as they are. What was
+    not met in the last blocks is forgotten, so memory is bounded.
     """
 
     def __init__(self, path: str) -> None:
@@ -146,17 +155,27 @@ class WordEncoder:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = self.library.get_vocab_size()
         self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        words = [t.split() for t in texts]
-        new = [w for w in {w for ws in words for w in ws} if w not in self.known]
-        if len(self.known) + len(new) > MOST_REMEMBERED:
-            self.known = {}
-            new = list({w for ws in words for w in ws})
+        self.older: dict[bytes, bytes] = {}
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > MOST_REMEMBERED:
+            self.older, self.known = self.known, {}
+        new = []
+        for w in words - self.known.keys():
+            if (ids := self.older.get(w)) is not None:
+                self.known[w] = ids
+            elif PLAIN.fullmatch(w):
+                self.known[w] = array("I", [t.id for t in self.library.model.tokenize(w.decode())]).tobytes()
+            else:
+                new.append(w)
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
             for w, e in zip(part, self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+                self.known[w] = array("I", e.ids).tobytes()
+
+    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
+        words = [WORD_END.sub(rb"\1 ", t.lower()).split() for t in texts]  # of bytes: ASCII alone
+        self._learn({w for ws in words for w in ws})
         get, end = self.known.__getitem__, np.array([end_id], "<u4").tobytes()
         return [b"".join(map(get, ws)) + end for ws in words]
 
