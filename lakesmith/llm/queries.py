@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, language, simhash, token_files, url_filter, warc
+from . import bpe, language, simhash, token_files, toxicity, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -80,3 +80,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of all documents; rows of fold 2 of 4 are held out of learning."""
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.learn(docs))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrated toxicity score of all documents; rows of fold 2 of 4 are held out of learning."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
