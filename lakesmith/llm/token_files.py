@@ -37,7 +37,7 @@ from .common import crc, filesystem, scratch_uri, slices, staged
 MAGIC, FOOT = b"BPK1", 28
 NULL_ID = -(2**63)
 #: Ids of a block; bytes of text encoded at a time; distinct words whose ids a worker remembers.
-BLOCK_IDS, BLOCK_BYTES, MOST_REMEMBERED = 65536, 4 << 20, 600_000
+BLOCK_IDS, BLOCK_BYTES, MOST_REMEMBERED = 65536, 4 << 20, 200_000
 #: Packed bytes aimed at for a file, and blocks read at a time by one task.
 FILE_BYTES, READ_BLOCKS = 256 << 20, 256
 
