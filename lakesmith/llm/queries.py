@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, language, simhash, token_files, toxicity, url_filter, warc
+from . import bpe, decontaminate, language, parsing, simhash, token_files, toxicity, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -87,3 +87,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibrated toxicity score of all documents; rows of fold 2 of 4 are held out of learning."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, by locally consistent parsing."""
+    return parsing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a document that leaks a benchmark item."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
