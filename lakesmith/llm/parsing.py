@@ -131,9 +131,13 @@ def _signature(levels: list[np.ndarray]) -> np.ndarray:
     return np.unique((names >> np.uint64(64 - 4 * DIGITS)).astype(np.uint32))
 
 
+def fingerprint_bytes(signature: np.ndarray) -> bytes:
+    """The least SIZE names, big-endian."""
+    return signature[:SIZE].astype(f">u{DIGITS // 2}").tobytes()
+
+
 def fingerprint_text(signature: np.ndarray) -> str:
-    """The least SIZE names, as hex."""
-    return signature[:SIZE].astype(f">u{DIGITS // 2}").tobytes().hex()
+    return fingerprint_bytes(signature).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -153,8 +157,8 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(ids: list[int], texts: list[str], following: list[str]) -> pa.RecordBatch:
@@ -168,8 +172,8 @@ def compared(ids: list[int], texts: list[str], following: list[str]) -> pa.Recor
         [None if i == NULL_ID else i for i in ids],
         [len(t) for t in texts],
         [hashlib.sha256(c).hexdigest() for c in changed],
-        [fingerprint_text(s) for s in own],
-        [fingerprint_text(s) for s in other],
+        [fingerprint_bytes(s) for s in own],
+        [fingerprint_bytes(s) for s in other],
         [likeness(a, b) for a, b in zip(own, other, strict=True)],
         [likeness(a, b) for a, b in zip(own, after, strict=True)],
     ]
@@ -235,4 +239,5 @@ def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 yield compared([doc], [text], [following])
 
     met = lasts.join(firsts, "nth").select("key", "text", "following").mapInArrow(finish, SCHEMA)
-    return done.where("edge IS NULL").drop("edge", "part", "key", "text").union(met)
+    found = done.where("edge IS NULL").drop("edge", "part", "key", "text").union(met)
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, language, parsing, simhash, token_files, toxicity, url_filter, warc
+from . import bpe, decontaminate, language, parsing, simhash, substrings, token_files, toxicity, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -99,3 +99,9 @@ def op4_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of a document that leaks a benchmark item."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that 13-word windows of documents with smaller ids repeat."""
+    return substrings.removed_words(table(spark, sf_dir, "documents"))
