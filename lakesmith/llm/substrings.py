@@ -34,6 +34,7 @@ WINDOW, SEED_WORDS = 13, 3
 #: Text bytes of a block, occurrences from which a string's go apart, buckets for a shuffle partition, windows of a string.
 BLOCK_BYTES, HOT, SPREAD, LONGEST = 4 << 20, 64, 4, 1024
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+CODEC = pa.Codec("zstd", compression_level=5)
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -118,7 +119,7 @@ def least_ids(strings: dict[bytes, int], window: int = WINDOW) -> dict[bytes, li
 
 
 def _squeeze(data: bytes) -> bytes:
-    return pa.compress(data, codec="zstd", asbytes=True)
+    return CODEC.compress(data, asbytes=True)
 
 
 def covered(start: int, least: list[int], own: int, window: int) -> Iterator[tuple[int, int]]:
@@ -136,7 +137,8 @@ def covered(start: int, least: list[int], own: int, window: int) -> Iterator[tup
         yield lo, hi
 
 
-PACKED = "bucket long, strings binary, sizes binary, seeds binary, leasts binary, hot binary, string_of binary, doc_of binary, start_of binary, raw_size long, n_calm long, n_known long, digest binary"
+PACKED = "bucket long, strings binary, sizes binary, seeds binary, leasts binary, hot binary, string_of binary, doc_of binary, start_of binary, raw_size long, n_calm long, n_known long"
+OCCURRENCES = "digest binary, doc_of binary, start_of binary"
 RANGES = "doc_id long, text_hash long, lo int, hi int, digest binary, least array<long>"
 
 
@@ -147,7 +149,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).cast("binary").alias("text"))
     rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch], hot_ones: bool) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BLOCK_BYTES):
             ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)], 1)
             words, start, end, seed, text, first = super_kmers(batch.column(2).to_pylist(), window)
@@ -155,28 +157,30 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                yield from bucket_rows(int(bucket[order[a]]), words, order[a:b], start, end, seed, ids[text], first)
+                yield from bucket_rows(int(bucket[order[a]]), words, order[a:b], start, end, seed, ids[text], first, hot_ones)
 
-    def bucket_rows(bucket: int, words: bytes, at: np.ndarray, start, end, seed, ids, first) -> Iterator[pa.RecordBatch]:
+    def bucket_rows(bucket: int, words: bytes, at: np.ndarray, start, end, seed, ids, first, hot_ones: bool) -> Iterator[pa.RecordBatch]:
+        """A bucket's row of packed strings, or (hot_ones) the occurrences that stay apart."""
         number: dict[bytes, int] = {}
         of = np.array([number.setdefault(words[s:e], len(number)) for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True)])
+        hot, strings = np.bincount(of, minlength=len(number)) > HOT, list(number)
+        if hot_ones:
+            for k in np.flatnonzero(hot):
+                own = at[of == k]
+                yield pa.RecordBatch.from_pylist([{"digest": hashlib.sha256(strings[k]).digest(), "doc_of": ids[own].astype("<i8").tobytes(), "start_of": first[own].astype("<u4").tobytes()}], schema=APART)
+            return
         least = np.full(len(number), 2**63 - 1)
         np.minimum.at(least, of, ids[at, 0])
         seeds = np.zeros(len(number), np.uint64)
         seeds[of] = seed[at]
-        hot = np.bincount(of, minlength=len(number)) > HOT
-        strings = list(number)
         calm = ~hot[of]
         known, doc_of = np.unique(ids[at[calm]], axis=0, return_inverse=True)
         data = b" ".join(strings)
         yield pa.RecordBatch.from_pylist([{
             "bucket": bucket, "strings": _squeeze(data), "sizes": _squeeze(np.array([len(s) for s in strings], "<u4").tobytes()), "seeds": seeds.tobytes(),
             "leasts": _squeeze(least.astype("<i8").tobytes()), "hot": np.packbits(hot).tobytes(), "string_of": _squeeze(of[calm].astype("<u4").tobytes()),
-            "doc_of": known.astype("<i8").tobytes() + _squeeze(doc_of.reshape(-1).astype("<u4").tobytes()), "start_of": _squeeze(first[at[calm]].astype("<u4").tobytes()), "raw_size": len(data), "n_calm": int(calm.sum()), "n_known": len(known), "digest": None,
+            "doc_of": known.astype("<i8").tobytes() + _squeeze(doc_of.reshape(-1).astype("<u4").tobytes()), "start_of": _squeeze(first[at[calm]].astype("<u4").tobytes()), "raw_size": len(data), "n_calm": int(calm.sum()), "n_known": len(known),
         }], schema=SENT)
-        for k in np.flatnonzero(hot):  # its occurrences, apart
-            own = at[of == k]
-            yield pa.RecordBatch.from_pylist([{"doc_of": ids[own].astype("<i8").tobytes(), "start_of": first[own].astype("<u4").tobytes(), "digest": hashlib.sha256(strings[k]).digest()}], schema=SENT)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -191,7 +195,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
 
     def verdicts(held: list[dict]) -> Iterator[pa.RecordBatch]:
         """The ranges of one bucket: first the strings whose minimiser others share, then their windows."""
-        unpack = lambda data, n, kind: np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
+        unpack = lambda data, n, kind: np.frombuffer(CODEC.decompress(data, n * np.dtype(kind).itemsize, asbytes=True), kind) if n else np.zeros(0, kind)
         seeds = np.concatenate([np.frombuffer(r["seeds"], "<u8") for r in held])
         names, inverse, counts = np.unique(seeds, return_inverse=True, return_counts=True)
         shared = counts[inverse] > 1
@@ -207,7 +211,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
             several[string_of[known[doc_of, 0] != least[string_of]]] = True
             wanted = np.flatnonzero(shared[at : at + n] | several | hot)
             if len(wanted):
-                data = pa.decompress(r["strings"], r["raw_size"], codec="zstd", asbytes=True)
+                data = CODEC.decompress(r["strings"], r["raw_size"], asbytes=True)
                 ends = np.cumsum(sizes.astype(np.int64) + 1) - 1
                 texts = {int(k): data[int(ends[k]) - int(sizes[k]) : int(ends[k])] for k in wanted}
                 for k, text in texts.items():
@@ -245,17 +249,17 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
                 if found:
                     yield ranges(found)
 
-    sent = staged(rows.mapInArrow(send, PACKED), "super-kmers")
-    strings = sent.where("digest IS NULL").drop("digest").repartition("bucket").sortWithinPartitions("bucket")
+    strings = rows.mapInArrow(lambda b: send(b, False), PACKED).repartition("bucket").sortWithinPartitions("bucket")
     judged = staged(strings.mapInArrow(judge, RANGES), "judged")
-    hot = sent.where("digest IS NOT NULL").select("digest", "doc_of", "start_of")
-    # a hot string's buckets each told its verdict once; its occurrences come in one row a block
+    # its bucket told a hot string's verdict once; its occurrences come in one row a block, from a second reading
+    # of the texts, which costs less than keeping all packed strings a second time
+    hot = staged(rows.mapInArrow(lambda b: send(b, True), OCCURRENCES), "apart")
     hot = hot.join(judged.where("digest IS NOT NULL").select("digest", "least"), "digest").mapInArrow(apart, RANGES)
     return judged.where("digest IS NULL").union(hot).select("doc_id", "text_hash", "lo", "hi")
 
 
 FOUND = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("digest", pa.binary()), ("least", pa.list_(pa.int64()))])
-SENT = pa.schema([(n, pa.int64() if t == "long" else pa.binary()) for n, t in (c.split() for c in PACKED.split(", "))])
+SENT, APART = (pa.schema([(n, pa.int64() if t == "long" else pa.binary()) for n, t in (c.split() for c in columns.split(", "))]) for columns in (PACKED, OCCURRENCES))
 
 
 def _lost(n: int, ranges: list[dict]) -> np.ndarray:
