@@ -122,6 +122,10 @@ def _squeeze(data: bytes) -> bytes:
     return CODEC.compress(data, asbytes=True)
 
 
+def _loosen(data: bytes, size: int) -> bytes:
+    return CODEC.decompress(data, size, asbytes=True)
+
+
 def covered(start: int, least: list[int], own: int, window: int) -> Iterator[tuple[int, int]]:
     """Ranges of words (from, to) that the windows with a smaller least id cover."""
     lo = hi = -1
@@ -195,7 +199,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
 
     def verdicts(held: list[dict]) -> Iterator[pa.RecordBatch]:
         """The ranges of one bucket: first the strings whose minimiser others share, then their windows."""
-        unpack = lambda data, n, kind: np.frombuffer(CODEC.decompress(data, n * np.dtype(kind).itemsize, asbytes=True), kind) if n else np.zeros(0, kind)
+        unpack = lambda data, n, kind: np.frombuffer(_loosen(data, n * np.dtype(kind).itemsize), kind) if n else np.zeros(0, kind)
         seeds = np.concatenate([np.frombuffer(r["seeds"], "<u8") for r in held])
         names, inverse, counts = np.unique(seeds, return_inverse=True, return_counts=True)
         shared = counts[inverse] > 1
@@ -211,7 +215,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
             several[string_of[known[doc_of, 0] != least[string_of]]] = True
             wanted = np.flatnonzero(shared[at : at + n] | several | hot)
             if len(wanted):
-                data = CODEC.decompress(r["strings"], r["raw_size"], asbytes=True)
+                data = _loosen(r["strings"], r["raw_size"])
                 ends = np.cumsum(sizes.astype(np.int64) + 1) - 1
                 texts = {int(k): data[int(ends[k]) - int(sizes[k]) : int(ends[k])] for k in wanted}
                 for k, text in texts.items():
