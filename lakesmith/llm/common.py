@@ -68,6 +68,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Ite
             yield batch.slice(first)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def in_fold(doc_id: Column, fold: int = 2, folds: int = 4) -> Column:
     """Whether crc32(doc_id as text) mod ``folds`` is ``fold``; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import slices, staged
+from .common import fresh, slices, staged
 from .components import connected
 
 SEED, SEGMENT, SEGMENTS = 42, 4, 16
@@ -189,7 +189,9 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_column:
     Of repeated rows (equal id and text) one stays; rows whose component has only null ids stay once for each text."""
     found = near_duplicates(docs, shingle, max_bits, id_column, text_column)
     kept = staged(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct(), "kept")
-    mine = docs.withColumn("__text_hash", F.xxhash64(text_column))
-    stay = mine.join(kept, mine[id_column].eqNullSafe(kept["kept_id"]) & (mine["__text_hash"] == kept["kept_hash"]), "left_semi")
-    one = Window.partitionBy(id_column, "__text_hash").orderBy("__text_hash")
-    return stay.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").drop("__nth", "__text_hash")
+    own_hash, nth = fresh(docs, "__text_hash"), fresh(docs, "__nth")
+    kept = kept.withColumnsRenamed({"kept_id": fresh(docs, "kept_id"), "kept_hash": fresh(docs, "kept_hash")})
+    mine = docs.withColumn(own_hash, F.xxhash64(text_column))
+    stay = mine.join(kept, mine[id_column].eqNullSafe(kept[kept.columns[0]]) & (mine[own_hash] == kept[kept.columns[1]]), "left_semi")
+    one = Window.partitionBy(id_column, own_hash).orderBy(own_hash)
+    return stay.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).select(*docs.columns)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import fresh, slices, staged
 
 WINDOW, SEED_WORDS = 13, 3
 #: Text bytes of a block, occurrences from which a string's go apart, buckets for a shuffle partition, windows of a string.
@@ -274,12 +274,14 @@ def _lost(n: int, ranges: list[dict]) -> np.ndarray:
 
 
 def with_ranges(docs: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """``docs`` with a column ``__ranges``: the removed word ranges of the row's text."""
+    """``docs`` with one more, last column: the removed word ranges of the row's text."""
+    held, own_hash, other_id, other_hash = (fresh(docs, n) for n in ("__ranges", "__text_hash", "__id", "__hash"))
     ranges = removed_ranges(docs, window, id_column, text_column)
-    ranges = staged(ranges.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias("__ranges")), "removed-ranges")
-    ranges = ranges.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    mine = docs.withColumn("__text_hash", F.xxhash64(text_column))
-    return mine.join(ranges, (mine[id_column].cast("long") == ranges["__id"]) & (mine["__text_hash"] == ranges["__hash"]), "left").drop("__id", "__hash", "__text_hash")
+    ranges = staged(ranges.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias(held)), "removed-ranges")
+    ranges = ranges.withColumnsRenamed({"doc_id": other_id, "text_hash": other_hash})
+    mine = docs.withColumn(own_hash, F.xxhash64(text_column))
+    met = mine.join(ranges, (mine[id_column].cast("long") == ranges[other_id]) & (mine[own_hash] == ranges[other_hash]), "left")
+    return met.select(*docs.columns, held)
 
 
 def removed_words(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -325,4 +327,4 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
                 columns[sized] = pa.array(lengths, columns[sized].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return with_ranges(docs, window, id_column, text_column).select(*docs.columns, "__ranges").mapInArrow(run, schema)
+    return with_ranges(docs, window, id_column, text_column).mapInArrow(run, schema)
