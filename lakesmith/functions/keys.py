@@ -15,12 +15,9 @@ def iso_date_text(c: str | Column) -> Column:
 
 
 def surrogate_key(*parts: str | Column) -> Column:
-    """``md5(p1 || '|' || p2 ...)`` over text parts; dates are rendered ISO ``yyyy-MM-dd``.
-
-    The parts of the keys built here are never NULL (a natural key and a window start), so
-    ``concat_ws`` is equal to plain concatenation.
-    """
-    return F.md5(F.concat_ws("|", *[col_(p) for p in parts]))
+    """``md5(p1 || '|' || p2 ...)`` over text parts; NULL if any part is NULL."""
+    separated = [x for p in parts for x in (F.lit("|"), col_(p).cast("string"))][1:]
+    return F.md5(F.concat(*separated))
 
 
 def date_key(c: str | Column) -> Column:

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 # Accepted text shapes before a cast.
 ISO_DATE_TIME_SHAPE = (
     r"^[1-9][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}"
-    r"([ T]([01]?[0-9]|2[0-3]):[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?Z?)?$"
+    r"([ T]([01]?[0-9]|2[0-3]):[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?Z?)?\z"
 )
-DECIMAL_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-INTEGER_SHAPE = r"^[+-]?[0-9]+$"
+DECIMAL_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+INTEGER_SHAPE = r"^[+-]?[0-9]+\z"
 
 _SHAPES = {
     "timestamp_ntz": ISO_DATE_TIME_SHAPE,

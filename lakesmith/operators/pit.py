@@ -116,10 +116,12 @@ def asof_lookup_ranged(
     keys = F.struct(*[F.col(k) for k in key])
     local = Window.partitionBy("__part", *key).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
     by_time = F.struct(*[F.col(c) for c in order])
-    last_hist = (
-        events.where(F.col("__side") == 0)
-        .groupBy("__part")
-        .agg(F.max_by(F.struct(keys.alias("k"), F.col("__val").alias("v")), by_time).alias("__last"))
+    # of every partition, also those of probes alone: they pass on what came before them
+    last_hist = events.groupBy("__part").agg(
+        F.max_by(
+            F.when(F.col("__side") == 0, F.struct(keys.alias("k"), F.col("__val").alias("v"))),
+            F.when(F.col("__side") == 0, by_time),
+        ).alias("__last")
     )
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     carry = last_hist.select("__part", F.last("__last", ignorenulls=True).over(before).alias("__carry"))

@@ -26,12 +26,13 @@ def query(name: str):
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules registers their queries
-    from . import queries_silver  # noqa: F401
-
-    for optional in ("queries_star", "queries_checks", "queries_io", "queries_native", "queries_streaming"):
-        try:
-            __import__(f"{__package__}.{optional}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"{__package__}.{optional}":
-                raise
+    from . import (  # noqa: F401
+        queries_checks,
+        queries_io,
+        queries_native,
+        queries_silver,
+        queries_star,
+        queries_streaming,
+    )
+
     return dict(QUERIES)

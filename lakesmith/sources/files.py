@@ -27,6 +27,8 @@ def read_text_csv(
 ) -> DataFrame:
     """Scan a CSV directory with a header row; every column, partition columns too, is text.
 
+    A file whose header has other names or another order raises; quotes are escaped by doubling.
+
     Leading and trailing blanks are preserved (cleansing decides what to trim); empty fields read
     as NULL.
     """
@@ -35,6 +37,8 @@ def read_text_csv(
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("enforceSchema", False)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -55,6 +59,7 @@ def write_text_csv(
     out = (
         df.write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )

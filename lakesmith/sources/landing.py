@@ -36,7 +36,8 @@ def _s(c: Column) -> Column:
 
 
 def _lpad_key(c: Column, width: int) -> Column:
-    return F.lpad(_s(c), width, "0")
+    """The key as text, padded with zeros to ``width``; longer keys stay whole."""
+    return F.lpad(_s(c), F.greatest(F.lit(width), F.length(_s(c))), F.lit("0"))
 
 
 def landing_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +85,7 @@ def landing_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("k"),
         F.when(cls == 10, " ").otherwise(F.concat(F.lit("B"), _lpad_key(k, 9))).alias("booking_id"),
         F.when(cls == 2, "   ")
-        .when(cls == 12, F.concat(F.lit("P8"), _lpad_key(k, 6)))
+        .when(cls == 12, F.concat(F.lit("U"), _lpad_key(k, 7)))
         .otherwise(F.concat(F.lit("P"), _lpad_key(F.col("o_custkey"), 7)))
         .alias("passenger_id"),
         F.when(cls == 4, "XXX-YYY")
@@ -126,8 +127,8 @@ def landing_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passenger extracts: a full first extract plus a second day of changes and re-sends.
 
-    Customers with ``key % 125 = 13`` are left out everywhere (they arrive late, so their bookings
-    resolve to the unknown member).
+    Every customer is in the first extract. Bookings of passengers in no extract (booking class 12,
+    ids of their own ``U`` prefix) resolve to the unknown member.
     """
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     k = F.col("c_custkey")
@@ -151,7 +152,7 @@ def landing_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(k % 50 == 3, F.lit(5)),
         )
     )
-    rows = c.filter(k % 125 != 13).withColumn("arm", F.explode(arms))
+    rows = c.withColumn("arm", F.explode(arms))
     arm = F.col("arm")
     full = arm == 0
     messy = full & (k % 15 == 0)

@@ -39,11 +39,11 @@ from ..sources.landing import BOOKING_COLUMNS
 
 
 def _open(spark: SparkSession, path: str) -> DataFrame | None:
-    """The silver table, or None before the first batch (opened once: one listing per batch)."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:
+    """The silver table, or None before the first batch; a table that can't be read raises."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         return None
+    return spark.read.parquet(path)
 
 
 def merge_bookings_batch(
@@ -106,6 +106,8 @@ def start_incremental_bookings(
     stream = (
         spark.readStream.schema(text_schema([*BOOKING_COLUMNS, "load_date"]))
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(landing_dir)

@@ -25,7 +25,7 @@ def test_landing_counts(built):
     inputs, cb, cp, _ = built
     assert inputs.routes.count() == 100
     assert cb.count() == 15899
-    assert cp.count() == 1880
+    assert cp.count() == 1892
 
 
 def test_booking_reasons_and_conservation(built):
@@ -43,24 +43,24 @@ def test_booking_reasons_and_conservation(built):
 def test_passenger_counts(built):
     _, _, cp, star = built
     by_reason = {r["reject_reason"]: r["count"] for r in cp.groupBy("reject_reason").count().collect()}
-    assert by_reason == {None: 1856, "malformed_value": 8, "missing_passenger_id": 8, "invalid_loyalty_tier": 8}
-    assert star.stg_passengers.count() == 1826
-    assert star.stg_passengers.select("passenger_id").distinct().count() == 1472
+    assert by_reason == {None: 1868, "malformed_value": 8, "missing_passenger_id": 8, "invalid_loyalty_tier": 8}
+    assert star.stg_passengers.count() == 1838
+    assert star.stg_passengers.select("passenger_id").distinct().count() == 1484
 
 
 def test_scd2_versions(built):
     *_, star = built
     d = star.dim_passenger.where(F.col("passenger_key") != "-1")
-    assert d.count() == 1684
+    assert d.count() == 1696
     dist = {r["n"]: r["count"] for r in d.groupBy("passenger_id").agg(F.count("*").alias("n")).groupBy("n").count().collect()}
-    assert dist == {1: 1310, 2: 112, 3: 50}
+    assert dist == {1: 1322, 2: 112, 3: 50}
 
 
 def test_fact_attribution(built):
     *_, star = built
     f = star.fact_bookings
     assert f.count() == 13311
-    assert f.where(F.col("passenger_key") == "-1").count() == 403
+    assert f.where(F.col("passenger_key") == "-1").count() == 285
     p = star.dim_passenger
     non_first = f.join(p, "passenger_key").where(F.col("valid_from") > F.lit("1900-01-01").cast("date")).count()
     assert non_first == 788
@@ -68,7 +68,7 @@ def test_fact_attribution(built):
         star.stg_bookings.join(p.where(F.col("passenger_key") != "-1").select("passenger_id", "first_seen_date").distinct(), "passenger_id")
         .where(F.col("booking_date") < F.col("first_seen_date")).count()
     )
-    assert before_first == 1808
+    assert before_first == 1827
 
 
 def test_route_types(built):

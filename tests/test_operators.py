@@ -1,6 +1,7 @@
 """Operator semantics on small hand-made frames, checked against brute force or DuckDB."""
 
 import datetime as dt
+import hashlib
 import random
 
 import duckdb
@@ -178,3 +179,40 @@ def test_ranged_asof_equals_brute_force_with_a_hot_key(spark):
         expected[i] = max(cands, key=lambda c: c[0])[1] if cands else None
     assert got == expected
     assert sum(v is not None for v in got.values()) > 300
+
+
+def test_long_keys_stay_whole(spark):
+    from lakesmith.sources.landing import _lpad_key
+
+    rows = spark.createDataFrame([(7,), (12_345_678_901,), (12_345_678_902,)], "k long")
+    assert [r[0] for r in rows.select(_lpad_key(F.col("k"), 9)).collect()] == ["000000007", "12345678901", "12345678902"]
+
+
+def test_null_part_gives_null_key(spark):
+    from lakesmith.functions.keys import surrogate_key
+
+    rows = spark.createDataFrame([("a", "b"), (None, "b")], "x string, y string")
+    assert [r[0] for r in rows.select(surrogate_key("x", "y")).collect()] == [hashlib.md5(b"a|b").hexdigest(), None]
+
+
+def test_newline_is_no_part_of_a_date(spark):
+    from lakesmith.functions.text import guarded_cast
+
+    rows = spark.createDataFrame([("2024-06-01\n",), ("2024-06-01",)], "x string")
+    assert [r[0] is None for r in rows.select(guarded_cast("x", "date")).collect()] == [True, False]
+
+
+def test_asof_ranged_with_probes_far_after_the_history(spark):
+    """Partitions of probes alone pass on what came before them, at any partition count."""
+    from lakesmith.operators.pit import asof_lookup_ranged
+
+    history = spark.createDataFrame([("k", 1, "v0"), ("k", 2, "v1")], "key string, t int, v string")
+    probes = spark.range(10, 2010).select(F.lit("k").alias("key"), F.col("id").cast("int").alias("p"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for slices in ("1", "8", "100"):
+            spark.conf.set("spark.sql.shuffle.partitions", slices)
+            found = asof_lookup_ranged(probes, history, ["key"], "p", "t", ["v"])
+            assert {(r[0], r[1]) for r in found.groupBy("asof_v").count().collect()} == {("v1", 2000)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
