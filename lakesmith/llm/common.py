@@ -21,14 +21,14 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, *LOWER)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet below the shared scratch folder, and read back.
 
     It cuts the lineage: a lost executor replays one stage, several readers do not compute it
     twice, and joins that follow plan with real sizes and exchanges of their own.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -209,7 +209,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     Manifest: part (ascending id order), path, n_docs, n_ids, start (ids in all files before it).
     """
     spark = docs.sparkSession
-    encoded = staged(_encoded(docs, vocabulary, end_id, id_column, text_column), "token-ids")
+    encoded = staged(_encoded(docs, vocabulary, end_id, id_column, text_column), "token-ids", codec="zstd")
     total = encoded.agg(F.sum(F.length("ids"))).first()[0] or 0
     files = max(1, math.ceil(total / FILE_BYTES), spark.sparkContext.defaultParallelism)
     ordered = encoded.repartitionByRange(files, "key").sortWithinPartitions("key", "ids")
