@@ -75,49 +75,61 @@ CHECKS["dq_value_in_range"] = row(
     "SELECT cancellation_rate FROM m_route WHERE cancellation_rate < 0 OR cancellation_rate > 1",
 )
 CHECKS["dq_fact_reconciles"] = row("fact_reconciles_to_silver", "fact_bookings", """
-SELECT * FROM (SELECT count(*) AS n, sum(fare_amount) AS fare FROM f_book) f,
-              (SELECT count(*) AS n, sum(fare_amount) AS fare FROM stg_b) s
-WHERE f.n <> s.n OR f.fare <> s.fare""")
+SELECT count(*), sum(fare_amount) FROM f_book EXCEPT SELECT count(*), sum(fare_amount) FROM stg_b""")
 CHECKS["dq_known_keys_resolve"] = row("known_passengers_resolve_to_a_version", "fact_bookings", """
-SELECT b.booking_id FROM stg_b b JOIN f_book f ON b.booking_id = f.booking_id
-WHERE f.passenger_key = '-1' AND EXISTS (SELECT 1 FROM stg_p p WHERE p.passenger_id = b.passenger_id)""")
+SELECT booking_id FROM f_book WHERE passenger_key = '-1'
+INTERSECT SELECT booking_id FROM stg_b SEMI JOIN stg_p USING (passenger_id)""")
 CHECKS["dq_one_current_version"] = row("one_current_version_per_passenger", "dim_passenger", """
-SELECT passenger_id FROM d_pass WHERE is_current GROUP BY passenger_id HAVING count(*) <> 1""")
-CHECKS["dq_scd2_overlap"] = union(
-    row("no_overlapping_windows", "dim_passenger", """
-SELECT 1 FROM d_pass a JOIN d_pass b
-  ON a.passenger_id = b.passenger_id AND a.passenger_key < b.passenger_key
- AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to
-WHERE a.valid_from < a.valid_to AND b.valid_from < b.valid_to"""),
-    row("proper_windows", "dim_passenger", "SELECT 1 FROM d_pass WHERE NOT (valid_from < valid_to)"),
+SELECT passenger_id FROM d_pass GROUP BY passenger_id HAVING sum(CAST(is_current AS INTEGER)) > 1""")
+# each window's start meets the windows of its passenger that are open at that moment
+CHECKS["dq_scd2_overlap"] = union("""
+SELECT 'no_overlapping_windows' AS check_name, 'dim_passenger' AS target,
+       CAST(coalesce(sum(open_before) FILTER (WHERE step = 1), 0) AS BIGINT) AS violations
+FROM (
+  SELECT step, sum(step) OVER (PARTITION BY passenger_id ORDER BY moment, step
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open_before
+  FROM (SELECT passenger_id, unnest([1, -1]) AS step, unnest([valid_from, valid_to]) AS moment
+        FROM d_pass WHERE valid_from < valid_to))""",
+    row("proper_windows", "dim_passenger", "SELECT 1 FROM d_pass WHERE valid_to - valid_from <= 0"),
 )
 CHECKS["dq_pit_containment"] = row("point_in_time_containment", "fact_bookings", """
-SELECT 1 FROM f_book f JOIN stg_b b USING (booking_id) JOIN d_pass p ON p.passenger_key = f.passenger_key
-WHERE f.passenger_key <> '-1' AND NOT (b.booking_date >= p.valid_from AND b.booking_date < p.valid_to)""")
+SELECT booking_id, passenger_key FROM f_book WHERE passenger_key <> '-1'
+EXCEPT
+SELECT booking_id, passenger_key FROM stg_b JOIN d_pass USING (passenger_id)
+WHERE booking_date BETWEEN valid_from AND valid_to - 1""")
 CHECKS["dq_tier_recompute"] = row("tier_equals_recomputation", "fact_bookings", """
-SELECT 1 FROM f_book f JOIN d_pass p ON p.passenger_key = f.passenger_key
-JOIN exp_tier e ON e.booking_id = f.booking_id WHERE p.loyalty_tier <> e.tier""")
-CHECKS["dq_marts_reconcile"] = """
-SELECT 'marts_reconcile_to_fact' AS check_name, 'marts' AS target,
-  CAST((r.b IS DISTINCT FROM f.b)::INT + (r.g IS DISTINCT FROM f.g)::INT
-     + (t.b IS DISTINCT FROM f.b)::INT + (t.g IS DISTINCT FROM f.g)::INT AS BIGINT) AS violations
-FROM (SELECT count(*) AS b, sum(fare_amount) FILTER (WHERE NOT is_cancelled) AS g FROM f_book) f,
-     (SELECT sum(bookings) AS b, sum(gross_revenue) AS g FROM m_route) r,
-     (SELECT sum(bookings) AS b, sum(gross_revenue) AS g FROM m_tier) t"""
+SELECT booking_id, loyalty_tier FROM f_book SEMI JOIN (SELECT booking_id FROM exp_tier WHERE tier IS NOT NULL) USING (booking_id)
+  JOIN d_pass USING (passenger_key)
+EXCEPT SELECT booking_id, tier FROM exp_tier""")
+_TOTALS = {
+    "f_book": "SELECT count(*) AS n, sum(if(is_cancelled, NULL, fare_amount)) AS g FROM f_book",
+    "mart": "SELECT sum(bookings) AS n, sum(gross_revenue) AS g FROM {mart}",
+}
+CHECKS["dq_marts_reconcile"] = (
+    "SELECT 'marts_reconcile_to_fact' AS check_name, 'marts' AS target, count(*) AS violations FROM ("
+    + "\nUNION ALL\n".join(
+        f"(SELECT {c} FROM ({_TOTALS['mart'].format(mart=m)}) EXCEPT SELECT {c} FROM ({_TOTALS['f_book']}))"
+        for m in ("m_route", "m_tier")
+        for c in ("n", "g")
+    )
+    + ")"
+)
 CHECKS["dq_silver_valid"] = union(
     row("silver_rows_valid", "stg_bookings", f"""
-SELECT 1 FROM stg_b WHERE fare_amount < 0 OR passenger_id IS NULL
-   OR status NOT IN ({", ".join(f"'{s}'" for s in STATUSES)})"""),
-    row("silver_text_clean", "stg_passengers",
-        "SELECT 1 FROM stg_p WHERE email <> lower(trim(email)) OR full_name <> trim(full_name)"),
+SELECT booking_id FROM stg_b
+EXCEPT ALL
+SELECT booking_id FROM stg_b SEMI JOIN (SELECT unnest({list(STATUSES)}) AS status) USING (status)
+WHERE fare_amount >= 0 AND passenger_id IS NOT NULL"""),
+    row("silver_text_clean", "stg_passengers", """
+SELECT email, full_name FROM stg_p WHERE email IS NOT NULL AND full_name IS NOT NULL
+EXCEPT ALL SELECT lower(trim(email)), trim(full_name) FROM stg_p"""),
 )
 CHECKS["dq_contiguous_versions"] = row("contiguous_versions", "dim_passenger", """
 SELECT passenger_id FROM (
-  SELECT *, lead(valid_from) OVER (PARTITION BY passenger_id ORDER BY valid_from) AS nxt
-  FROM d_pass WHERE passenger_key <> '-1')
-GROUP BY passenger_id
-HAVING min(valid_from) <> DATE '1900-01-01' OR max(valid_to) <> DATE '9999-12-31'
-    OR count(*) FILTER (WHERE is_current) <> 1 OR NOT bool_and(nxt IS NULL OR nxt = valid_to)""")
+  SELECT passenger_id, list(valid_from ORDER BY valid_from) AS opens, list(valid_to ORDER BY valid_from) AS closes,
+         count(nullif(is_current, false)) AS n
+  FROM d_pass WHERE passenger_key <> '-1' GROUP BY passenger_id)
+WHERE n <> 1 OR [DATE '1900-01-01'] || closes <> opens || [DATE '9999-12-31']""")
 
 frag("dq_all", STAR + ("exp_tier",), "\nUNION ALL\n".join(f"SELECT * FROM ({CHECKS[k]})" for k in CHECKS))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .fragments import history, islands
 from .queries import SQL, sql
 from .queries_checks import accepted, not_null, rel, row, union, unique
 
@@ -12,40 +13,24 @@ SELECT event_id, user_id, event_type, ts, value FROM (
 WHERE rn = 1
 """)
 
-_USER_VERSIONS = """
+_USER_VERSIONS = f"""
 WITH daily AS (
-  SELECT user_id, snapshot_date, event_type FROM (
-    SELECT user_id, CAST(ts AS DATE) AS snapshot_date, event_type,
-           row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn
-    FROM events)
-  WHERE rn = 1
-),
-hist AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY snapshot_date) AS version_no,
-         lag(event_type) OVER (PARTITION BY user_id ORDER BY snapshot_date) AS prev_type,
-         min(snapshot_date) OVER (PARTITION BY user_id) AS first_seen_date
-  FROM daily
-),
-changes AS (
-  SELECT * FROM hist WHERE version_no = 1 OR event_type IS DISTINCT FROM prev_type
+  SELECT user_id, CAST(ts AS DATE) AS day, last(event_type ORDER BY ts, event_id) AS event_type
+  FROM events GROUP BY user_id, CAST(ts AS DATE)
 ),
+user_log AS ({history("daily", "user_id", "day", ("event_type",))}),
 versions AS (
-  SELECT md5(CAST(user_id AS VARCHAR) || '|' || strftime(valid_from, '%Y-%m-%d')) AS user_key,
-         user_id, event_type, first_seen_date, valid_from,
-         coalesce(next_change, DATE '9999-12-31') AS valid_to, next_change IS NULL AS is_current
-  FROM (SELECT *, CASE WHEN version_no = 1 THEN DATE '1900-01-01' ELSE snapshot_date END AS valid_from,
-               lead(snapshot_date) OVER (PARTITION BY user_id ORDER BY snapshot_date) AS next_change
-        FROM changes)
+  SELECT * RENAME (first_seen AS first_seen_date) FROM ({islands(
+    "user_log", "user_id", ("event_type",), "CAST(user_id AS VARCHAR) || '|' || strftime(valid_from, '%Y-%m-%d')",
+    "DATE '1900-01-01'", "DATE '9999-12-31'", "user_")})
 )
 """
 SQL["events_user_scd2"] = _USER_VERSIONS + "SELECT * FROM versions"
 SQL["events_pit_purchases"] = _USER_VERSIONS + """
-SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS purchase_date,
-       coalesce(v.user_key, '-1') AS user_key, v.event_type AS state_in_force
-FROM events e
-LEFT JOIN versions v
-  ON v.user_id = e.user_id AND v.valid_from <= CAST(e.ts AS DATE) AND CAST(e.ts AS DATE) < v.valid_to
-WHERE e.event_type = 'purchase'
+SELECT e.event_id, e.user_id, e.day AS purchase_date, ifnull(v.user_key, '-1') AS user_key,
+       v.event_type AS state_in_force
+FROM (SELECT event_id, user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase') e
+ASOF LEFT JOIN versions v ON v.user_id = e.user_id AND e.day >= v.valid_from
 """
 
 SQL["lineitem_ship_mart"] = """
@@ -93,29 +78,15 @@ UNION ALL SELECT 'silver_routes', count(*), count(*), 0, 0 FROM s_routes
 
 sql("incremental_silver_bookings", ("s_bookings",), "SELECT * FROM s_bookings")
 
-SQL["events_user_scd2_ts"] = """
-WITH hist AS (
-  SELECT user_id, event_type, ts FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM events)
-  WHERE rn = 1
-),
-ordered AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS version_no,
-         lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prev_type,
-         min(ts) OVER (PARTITION BY user_id) AS first_seen_ts
-  FROM hist
+SQL["events_user_scd2_ts"] = f"""
+WITH moments AS (
+  SELECT user_id, ts, last(event_type ORDER BY event_id) AS event_type FROM events GROUP BY user_id, ts
 ),
-changes AS (SELECT * FROM ordered WHERE version_no = 1 OR event_type IS DISTINCT FROM prev_type),
-windows AS (
-  SELECT *, CASE WHEN version_no = 1 THEN TIMESTAMP '1900-01-01 00:00:00' ELSE ts END AS valid_from,
-         lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_change
-  FROM changes
-)
-SELECT md5(CAST(user_id AS VARCHAR) || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS user_key,
-       user_id, event_type, first_seen_ts, valid_from,
-       coalesce(next_change, TIMESTAMP '9999-12-31 00:00:00') AS valid_to,
-       next_change IS NULL AS is_current
-FROM windows
+user_log AS ({history("moments", "user_id", "ts", ("event_type",))})
+SELECT * RENAME (first_seen AS first_seen_ts) FROM ({islands(
+    "user_log", "user_id", ("event_type",),
+    "CAST(user_id AS VARCHAR) || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')",
+    "TIMESTAMP '1900-01-01 00:00:00'", "TIMESTAMP '9999-12-31 00:00:00'", "user_")})
 """
 
 SQL["events_asof_prior_event"] = """

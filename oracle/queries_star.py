@@ -10,12 +10,7 @@ sql("stg_routes", ("stg_r",), "SELECT * FROM stg_r")
 sql("dim_date", ("d_date",), "SELECT * FROM d_date")
 sql("dim_route", ("d_route",), "SELECT * FROM d_route")
 sql("dim_passenger_scd2", ("d_pass",), "SELECT * FROM d_pass")
-sql("scd2_change_detection", ("p_hist",), """
-SELECT passenger_id, updated_at, version_no,
-       version_no = 1 OR full_name IS DISTINCT FROM prev_name OR email IS DISTINCT FROM prev_email
-       OR loyalty_tier IS DISTINCT FROM prev_tier OR home_airport IS DISTINCT FROM prev_airport AS is_change
-FROM p_hist
-""")
+sql("scd2_change_detection", ("p_hist",), "SELECT passenger_id, updated_at, version_no, is_change FROM p_hist")
 sql("scd2_first_seen", ("p_hist",), "SELECT passenger_id, updated_at, first_seen_date FROM p_hist")
 sql("surrogate_key_md5", ("p_versions", "stg_r"), """
 SELECT 'dim_passenger' AS dimension, passenger_id || '|' || strftime(valid_from, '%Y-%m-%d') AS natural_key,
@@ -25,11 +20,8 @@ UNION ALL
 SELECT 'dim_route', route_code, md5(route_code) FROM stg_r
 """)
 sql("fact_bookings", ("f_book",), "SELECT * FROM f_book")
-sql("pit_join_fact", ("stg_b", "p_versions"), """
-SELECT b.booking_id, b.passenger_id, b.booking_date, v.passenger_key, v.valid_from, v.valid_to, v.loyalty_tier
-FROM stg_b b
-LEFT JOIN p_versions v
-  ON v.passenger_id = b.passenger_id AND v.valid_from <= b.booking_date AND b.booking_date < v.valid_to
+sql("pit_join_fact", ("b_state",), """
+SELECT booking_id, passenger_id, booking_date, passenger_key, valid_from, valid_to, loyalty_tier FROM b_state
 """)
 sql("mart_daily_route_revenue", ("m_route",), "SELECT * FROM m_route")
 sql("mart_revenue_by_loyalty_tier", ("m_tier",), "SELECT * FROM m_tier")
@@ -40,14 +32,12 @@ SELECT count(*) AS fact_rows,
 FROM f_book
 """)
 sql("scd2_version_summary", ("p_versions",), """
-SELECT passenger_id,
-       count(*) AS versions,
-       min(valid_from) AS first_valid_from,
-       max(valid_to) AS last_valid_to,
-       count(*) FILTER (WHERE is_current) AS current_versions,
-       bool_and(nxt IS NULL OR nxt = valid_to) AS contiguous
-FROM (SELECT *, lead(valid_from) OVER (PARTITION BY passenger_id ORDER BY valid_from) AS nxt FROM p_versions)
-GROUP BY passenger_id
+SELECT passenger_id, len(opens) AS versions, opens[1] AS first_valid_from, list_max(closes) AS last_valid_to,
+       current_versions, opens[2:] = closes[:len(closes) - 1] AS contiguous
+FROM (
+  SELECT passenger_id, list(valid_from ORDER BY valid_from) AS opens, list(valid_to ORDER BY valid_from) AS closes,
+         CAST(sum(CAST(is_current AS INTEGER)) AS BIGINT) AS current_versions
+  FROM p_versions GROUP BY passenger_id)
 """)
 sql("pit_recompute_arg_max", ("exp_tier", "f_book", "d_pass"), """
 SELECT f.booking_id, f.passenger_key, e.tier AS expected_tier, p.loyalty_tier AS resolved_tier
