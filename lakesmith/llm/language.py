@@ -130,8 +130,11 @@ def learn(docs: DataFrame, per_language: int = 500, id_column: str = "doc_id", t
     """A model from at most ``per_language`` rows of each language outside the held-out fold."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_fold(F.col("doc_id"), fold, folds))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
-    chosen = staged(rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash")).distinct().withColumn("nth", nth).where(F.col("nth") <= per_language).select("doc_id", "lang"), "language-sample")
+    keys = rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"), F.pmod(F.xxhash64("doc_id", "lang"), F.lit(64)).alias("part")).distinct()
+    for group in (["lang", "part"], ["lang"]):  # the first of each part, then of the language: no task gets a whole language
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy("hash", "doc_id"))
+        keys = keys.withColumn("nth", nth).where(F.col("nth") <= per_language).drop("nth")
+    chosen = staged(keys.select("doc_id", "lang"), "language-sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
