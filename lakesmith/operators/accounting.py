@@ -96,16 +96,21 @@ def account_by_key(dataset: str, classified: DataFrame, key, reason_column: str
         F.coalesce(F.sum("rows"), F.lit(0)).alias("landing_rows"),
         F.coalesce(F.sum(F.when(accepted_, F.col("rows"))), F.lit(0)).alias("accepted"),
         F.coalesce(F.sum(F.when(accepted_, F.col("keys"))), F.lit(0)).alias("silver_rows"),
+        # one entry per declared reason
+        F.collect_list(F.when(~accepted_, _metric("rejected_by_reason", "rows", "reason"))).alias("by_reason"),
     )
-    summary = t.select(
-        F.lit(dataset).alias("dataset"),
-        F.expr(
-            "stack(4, 'landing_rows', landing_rows, 'silver_rows', silver_rows, "
-            "'rejected', landing_rows - accepted, 'duplicates_removed', accepted - silver_rows) as (metric, value)"
-        ),
-    ).select("dataset", "metric", F.lit(None).cast("string").alias("reason"), F.col("value").cast("bigint"))
-    by_reason = per_reason.where(~accepted_).select(
-        F.lit(dataset).alias("dataset"), F.lit("rejected_by_reason").alias("metric"), "reason",
-        F.col("rows").cast("bigint").alias("value"),
-    )
-    return summary.unionByName(by_reason)
+    fixed = F.array(
+        _metric("landing_rows", "landing_rows"),
+        _metric("silver_rows", "silver_rows"),
+        _metric("rejected", F.col("landing_rows") - F.col("accepted")),
+        _metric("duplicates_removed", F.col("accepted") - F.col("silver_rows")),
+    )
+    return t.select(F.explode(F.concat(fixed, "by_reason")).alias("m")).select(
+        F.lit(dataset).alias("dataset"), "m.metric", "m.reason", "m.value"
+    )
+
+
+def _metric(name: str, value, reason: str | None = None):
+    value = F.col(value) if isinstance(value, str) else value
+    why = F.lit(None) if reason is None else F.col(reason)
+    return F.struct(F.lit(name).alias("metric"), why.cast("string").alias("reason"), value.cast("bigint").alias("value"))

@@ -3,8 +3,10 @@
 ``point_in_time_join``: equality on the natural key plus a half-open validity range
 ``valid_from <= t < valid_to``. Catalyst plans it as a hash / sort-merge join on the key with the
 range as a residual predicate; with non-overlapping windows each fact row matches at most one
-version. A key holding a large share of the facts is split by AQE's skew-join handling (the
-version side of that key is a handful of rows and is replicated).
+version. A key holding a large share of the facts is salted by the fact time: each version is
+repeated once per salt, so such a key spans several partitions from the start. The salted version
+side has its own exchange, whatever produced it (SCD2 windows leave the key's partitioning behind,
+which AQE's skew rule does not look through), so AQE splits what is still too large.
 
 ``asof_lookup``: for every (key, t) of the left side, the attributes of the latest right-side row
 with ``right_time <= t`` -- without emitting (left, right) pairs. The distinct (key, t) probes are
@@ -20,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SALT = "__pit_salt"
+
 
 def point_in_time_join(
     facts: DataFrame,
@@ -30,13 +34,16 @@ def point_in_time_join(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     how: str = "left",
+    salts: int = 4,
 ) -> DataFrame:
+    salted = versions.withColumn(SALT, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     cond = (
-        (facts[fact_key] == versions[version_key])
-        & (facts[fact_time] >= versions[valid_from])
-        & (facts[fact_time] < versions[valid_to])
+        (facts[fact_key] == salted[version_key])
+        & (F.pmod(F.xxhash64(facts[fact_time]), F.lit(salts)).cast("int") == salted[SALT])
+        & (facts[fact_time] >= salted[valid_from])
+        & (facts[fact_time] < salted[valid_to])
     )
-    return facts.join(versions, cond, how)
+    return facts.join(salted, cond, how).drop(SALT)
 
 
 def asof_lookup(

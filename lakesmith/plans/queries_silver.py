@@ -118,23 +118,24 @@ def q_try_cast_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = _inputs(spark, sf_dir)
     from ..functions.text import blank_to_null, guarded_cast
 
-    def cast_rows(df: DataFrame, column: str, type_name: str) -> DataFrame:
-        v = blank_to_null(column)
-        return df.select(
-            F.lit(column).alias("column_name"),
-            F.lit(type_name).alias("target_type"),
-            F.col(column).alias("raw_value"),
-            guarded_cast(v, type_name).cast("string").alias("cast_value"),
-        )
+    def cast_rows(df: DataFrame, types: dict[str, str]) -> DataFrame:
+        cells = [
+            F.struct(
+                F.lit(column).alias("column_name"),
+                F.lit(type_name).alias("target_type"),
+                F.col(column).alias("raw_value"),
+                guarded_cast(blank_to_null(column), type_name).cast("string").alias("cast_value"),
+            )
+            for column, type_name in types.items()
+        ]
+        return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
     parts = [
-        cast_rows(inputs.bookings, "booking_ts", "timestamp_ntz"),
-        cast_rows(inputs.bookings, "travel_date", "date"),
-        cast_rows(inputs.bookings, "fare_amount", "decimal(10,2)"),
-        cast_rows(inputs.bookings, "updated_ts", "timestamp_ntz"),
-        cast_rows(inputs.passengers, "updated_at", "date"),
-        cast_rows(inputs.routes, "distance_miles", "int"),
-    ]
+        cast_rows(inputs.bookings, {"booking_ts": "timestamp_ntz", "travel_date": "date",
+                                    "fare_amount": "decimal(10,2)", "updated_ts": "timestamp_ntz"}),
+        cast_rows(inputs.passengers, {"updated_at": "date"}),
+        cast_rows(inputs.routes, {"distance_miles": "int"}),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

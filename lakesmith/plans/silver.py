@@ -110,7 +110,8 @@ def classify_bookings(inputs: SilverInputs) -> DataFrame:
 
 
 def dedupe_bookings(classified: DataFrame) -> DataFrame:
-    latest = dedupe_latest(accepted(classified), BOOKING_KEY, BOOKING_ORDER)
+    stored = accepted(classified).select(*[c for c in SILVER_BOOKING_COLUMNS if c != "booking_date"])
+    latest = dedupe_latest(stored, BOOKING_KEY, BOOKING_ORDER)
     return latest.withColumn("booking_date", F.to_date("booking_ts")).select(*SILVER_BOOKING_COLUMNS)
 
 
@@ -139,7 +140,8 @@ def classify_passengers(inputs: SilverInputs) -> DataFrame:
 
 
 def dedupe_passengers(classified: DataFrame) -> DataFrame:
-    return dedupe_latest(accepted(classified), PASSENGER_KEY, PASSENGER_ORDER).select(*SILVER_PASSENGER_COLUMNS)
+    stored = accepted(classified).select(*SILVER_PASSENGER_COLUMNS)
+    return dedupe_latest(stored, PASSENGER_KEY, PASSENGER_ORDER)
 
 
 def silver_passengers(inputs: SilverInputs) -> DataFrame:

@@ -91,9 +91,8 @@ def build_fact_bookings(stg_b: DataFrame, versions: DataFrame, dim_r: DataFrame)
     """Grain: one row per booking; passenger version resolved at the booking date.
 
     ``versions`` are the passenger versions *without* the unknown member: a booking that matches
-    no version gets ``-1`` from the coalesce, exactly as a match on the unknown member would, and
-    the join keeps the ``passenger_id`` hash partitioning that the SCD2 windows already produced
-    (a UNION with the literal member row would discard it and force another shuffle of the dim).
+    no version gets ``-1`` from the coalesce, exactly as a match on the unknown member would. The
+    join salts its keys, so a passenger with a large share of all bookings is split.
     """
     versions = versions.where(F.col("passenger_key") != UNKNOWN_KEY).select(
         F.col("passenger_key"), F.col("passenger_id").alias("__pid"), "valid_from", "valid_to"

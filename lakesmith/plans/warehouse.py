@@ -10,11 +10,12 @@ boundary (a lost executor recomputes at most one layer) and means no DataFrame i
   rows, and metrics read two columns;
 * silver bookings are Hive-partitioned by ``booking_date``; rows are range-partitioned on
   (booking_date, booking_id) first, so tasks write few files and a hot date is split over tasks;
-* the star tables are built from the written silver, written to a run directory, checked there,
-  and only published (a small pointer table naming the run) when the quality gate passes.
+* silver and star are written to a run directory and checked there. Only when the quality gate
+  passes, one row naming the run is appended to the pointer table; nothing live is ever deleted
+  or overwritten, so a failed gate or a crash leaves the earlier run readable as it was.
 
-All paths live below a root the caller passes in (on a cluster: a shared folder). Outputs are
-overwritten, so a rebuild over the same inputs is idempotent.
+All paths live below a root the caller passes in (on a cluster: a shared folder). ``build_silver``
+overwrites its folder, so a rebuild over the same inputs is idempotent.
 """
 
 from __future__ import annotations
@@ -160,16 +161,21 @@ def write_star(spark: SparkSession, star: T.Star, run_dir: str) -> T.Star:
 
 
 def publish(spark: SparkSession, inputs: S.SilverInputs, root: str, run_id: str | None = None) -> dict:
-    """Full rebuild below ``root``; raises ``QualityGateError`` (publishing nothing) on failure."""
-    paths, frames = build_silver(spark, inputs, root)
+    """Full rebuild in a run directory of its own; raises ``QualityGateError`` (publishing nothing) on
+    failure, and ``ValueError`` for a ``run_id`` that was published before."""
     run_id = run_id or uuid.uuid4().hex[:12]
     run_dir = _p(root, "runs", run_id)
+    if not published_runs(spark, root).where(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} is published already")
+    paths, frames = build_silver(spark, inputs, run_dir)
     star = write_star(spark, read_silver_star(spark, paths, frames), run_dir)
     summary = Q.dq_summary(star)
     write_parquet(summary, _p(run_dir, "_checks"))
     gate(read_parquet(spark, _p(run_dir, "_checks")))
-    pointer = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(run_dir).alias("path"))
-    pointer.coalesce(1).write.mode("overwrite").json(_p(root, "current"))
+    pointer = spark.range(1, numPartitions=1).select(
+        F.lit(run_id).alias("run_id"), F.lit(run_dir).alias("path"), F.current_timestamp().alias("published_at")
+    )
+    pointer.write.mode("append").parquet(_p(root, "current"))
     return {"run_id": run_id, "run_dir": run_dir, "silver": paths.root, "views": register_views(spark, run_dir)}
 
 
@@ -184,5 +190,17 @@ def register_views(spark: SparkSession, run_dir: str, prefix: str = "") -> list[
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    """Directory of the last published run (the pointer is one tiny row)."""
-    return spark.read.schema("run_id string, path string").json(_p(root, "current")).first()["path"]
+    """Directory of the last published run (the pointer has one tiny row a run)."""
+    last = published_runs(spark, root).agg(F.max_by("path", "published_at").alias("path")).first()["path"]
+    if last is None:
+        raise LookupError(f"nothing is published below {root}")
+    return last
+
+
+def published_runs(spark: SparkSession, root: str) -> DataFrame:
+    """``run_id``, ``path`` and ``published_at`` of every published run; empty before the first one."""
+    schema = "run_id string, path string, published_at timestamp"
+    at = spark._jvm.org.apache.hadoop.fs.Path(_p(root, "current"))
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_p(root, "current"))

@@ -6,6 +6,8 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from lakesmith.operators.pit import point_in_time_join
+from lakesmith.operators.scd2 import scd2
 from tests.conftest import SF_SMALL
 
 # queries that write files while being built are planned elsewhere (their read-backs are scans)
@@ -48,7 +50,33 @@ def test_scans_are_pruned(spark):
     assert orders and all("o_orderpriority" not in s for s in orders)
 
 
-def test_fact_reuses_scd2_partitioning(spark):
-    plan = _plan(spark, "fact_bookings", broadcast=False)
-    # the version side of the point-in-time join is not re-shuffled after the SCD2 windows
-    assert "Exchange hashpartitioning(__pid" not in plan
+def test_point_in_time_join_splits_a_hot_key(spark):
+    """A lazy version side behind SCD2 windows: AQE still splits a key with half of the facts."""
+    history = spark.range(4000).selectExpr(
+        "id % 1000 as k", "cast(id as string) as state", "date_add(date'2024-01-01', cast(id div 1000 as int)) as at")
+    versions = scd2(history, ["k"], ["state"], "at", surrogate="sk").withColumnRenamed("k", "vk")
+    facts = spark.range(400_000).selectExpr(
+        "id", "if(id % 2 = 0, 7, id % 1000) as fk", "date_add(date'2024-01-01', cast(id % 9 as int)) as day")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = point_in_time_join(facts, versions, "fk", "day", "vk")
+        joined = joined.select("id", "state")
+        assert all(r["state"] is not None for r in joined.collect())
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(("name", "table", "scans"), [("accounting_metrics", "o_orderkey", 1), ("try_cast_matrix", "o_orderkey", 1)])
+def test_scan_counts(spark, name, table, scans):
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", _plan(spark, name))
+    assert sum(table in s for s in schemas) <= scans
