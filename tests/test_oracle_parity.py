@@ -6,12 +6,13 @@ from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
 import __spark_entry__ as E
+from lakesmith.plans.registry import all_queries
 
-NAMES = sorted(E.queries())
+NAMES = sorted(all_queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakesmith.functions.keys import UNKNOWN_KEY
 from lakesmith.operators.checks import QualityGateError, gate
 from lakesmith.plans import quality as Q
 from lakesmith.plans import silver as S
@@ -63,3 +64,61 @@ def test_orphan_fact_key_and_reconciliation(star):
     assert _violations(Q.dq_fact_reconciles(bad))[("fact_reconciles_to_silver", "fact_bookings")] == 1
     with pytest.raises(QualityGateError):
         gate(Q.dq_summary(bad, extended=False))
+
+
+def _with(star, **tables):
+    return T.Star(**{**star.__dict__, **tables})
+
+
+def _only(df):
+    return sum(r["violations"] for r in df.collect())
+
+
+def test_rate_out_of_range(star):
+    mart = star.mart_daily_route_revenue
+    assert _only(Q.dq_value_in_range(_with(star, mart_daily_route_revenue=mart.withColumn("cancellation_rate", F.lit(1.5))))) == mart.count()
+
+
+def test_known_passenger_on_unknown_member(star):
+    known = star.fact_bookings.where(F.col("passenger_key") != UNKNOWN_KEY)
+    one = known.orderBy("booking_id").first()["booking_id"]
+    fact = star.fact_bookings.withColumn(
+        "passenger_key", F.when(F.col("booking_id") == one, F.lit(UNKNOWN_KEY)).otherwise(F.col("passenger_key"))
+    )
+    assert _only(Q.dq_known_keys_resolve(_with(star, fact_bookings=fact))) == 1
+
+
+def test_booking_outside_its_versions_window(star):
+    p = star.dim_passenger.withColumn("valid_from", F.col("valid_to"))
+    bad = _with(star, dim_passenger=p)
+    attributed = star.fact_bookings.where(F.col("passenger_key") != UNKNOWN_KEY).count()
+    assert _only(Q.dq_pit_containment(bad)) == attributed
+    assert _violations(Q.dq_scd2_overlap(bad))[("proper_windows", "dim_passenger")] == p.count()
+
+
+def test_wrong_tier_of_a_version(star):
+    used = star.fact_bookings.where(F.col("passenger_key") != UNKNOWN_KEY).orderBy("booking_id").first()["passenger_key"]
+    hit = F.col("passenger_key") == used
+    p = star.dim_passenger.withColumn("loyalty_tier", F.when(hit, F.lit("OTHER")).otherwise(F.col("loyalty_tier")))
+    assert _only(Q.dq_tier_recompute(_with(star, dim_passenger=p))) == star.fact_bookings.where(hit).count()
+
+
+def test_mart_that_lost_a_row(star):
+    mart = star.mart_revenue_by_loyalty_tier
+    least = mart.orderBy("bookings").first()
+    short = mart.where(F.col("loyalty_tier") != least["loyalty_tier"])
+    assert _only(Q.dq_marts_reconcile(_with(star, mart_revenue_by_loyalty_tier=short))) >= 1
+
+
+def test_invalid_silver(star):
+    n = star.stg_bookings.count()
+    assert _only(Q.dq_silver_valid(_with(star, stg_bookings=star.stg_bookings.withColumn("fare_amount", F.lit(-1))))) == n
+    dirty = star.stg_passengers.withColumn("full_name", F.concat(F.lit(" "), F.coalesce("full_name", F.lit("x"))))
+    assert _only(Q.dq_silver_valid(_with(star, stg_passengers=dirty))) == dirty.count()
+
+
+def test_gap_between_versions(star):
+    first = star.dim_passenger.where(~F.col("is_current")).orderBy("passenger_key").first()
+    hit = F.col("passenger_key") == first["passenger_key"]
+    p = star.dim_passenger.withColumn("valid_to", F.when(hit, F.date_sub("valid_to", 1)).otherwise(F.col("valid_to")))
+    assert _only(Q.dq_contiguous_versions(_with(star, dim_passenger=p))) == 1
