@@ -130,6 +130,11 @@ def test_rule_order_is_the_documented_reason_order(spark):
     from lakesmith.plans import silver as S
 
     routes = spark.createDataFrame([("A-B",)], "route_code string")
+    # The reasons in the order in which they apply.
+    assert [r.reason for r in S.booking_rules(routes)] == [
+        "malformed_value", "missing_passenger_id", "negative_fare", "invalid_status", "unknown_route",
+    ]
+    assert [r.reason for r in S.PASSENGER_RULES] == ["malformed_value", "missing_passenger_id", "invalid_loyalty_tier"]
 
 
 def test_ranged_scd2_equals_window_scd2_with_a_hot_key(spark):
