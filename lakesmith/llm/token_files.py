@@ -133,8 +133,9 @@ class FileReader:
         return np.concatenate(found)[start - first * self.block : end - first * self.block]
 
 
-#: An ASCII or Latin-1 letter before ASCII punctuation (not the apostrophe) or a digit always ends a pre-token.
-WORD_END = re.compile(rb"([a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])(?=[!-&(-@\[-`{-~])")
+#: ASCII punctuation (not the apostrophe) or a digit always begins a pre-token after an ASCII or Latin-1 letter. The
+#: letter is looked up behind, as a pattern that begins with the rarer characters is searched for faster.
+WORD_END = re.compile(rb"[!-&(-@\[-`{-~](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 PLAIN = re.compile(rb"[a-z]+")
 
 
@@ -174,8 +175,8 @@ class WordEncoder:
                 self.known[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        words = [WORD_END.sub(rb"\1 ", t.lower()).split() for t in texts]  # of bytes: ASCII alone
-        self._learn({w for ws in words for w in ws})
+        words = [WORD_END.sub(rb" \g<0>", t.lower()).split() for t in texts]  # of bytes: ASCII alone
+        self._learn(set().union(*words))
         get, end = self.known.__getitem__, np.array([end_id], "<u4").tobytes()
         return [b"".join(map(get, ws)) + end for ws in words]
 
