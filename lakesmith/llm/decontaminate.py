@@ -4,7 +4,7 @@ A document leaks an item if it holds, within ``edit_rate`` edits, some stretch o
 (the whole item if it is shorter). Such a stretch of L characters with at most e edits keeps at
 least ``L - q + 1 - q * e`` of its q-grams, on diagonals (place in the document less place in the item) that span
 at most e. So the documents' q-grams are looked up among the items', the hits are
-counted in bands of 2e + 1 diagonals that overlap by half, and stretches of an item with too few hits
+counted in bands of 2e diagonals, one every e, and stretches of an item with too few hits
 in a band are out. The rest are aligned in the band, for all their starts at once, and kept if the edits are in the budget.
 
 Texts are compared as characters with A-Z lower-cased and each ASCII white space as a space.
@@ -126,32 +126,37 @@ def leaks(texts: list[str], items: Items, stretch: int = STRETCH, edit_rate: flo
     row = np.searchsorted(base, at, "right") - 1
     inside = at + Q <= base[row + 1]  # not over a text's end
     at, entry, row = at[inside], entry[inside], row[inside]
+    if not len(at):
+        return []
     item, place = items.item[entry], items.place[entry]
     sizes = np.array([len(c) for c in items.codes])
     length = np.minimum(stretch, sizes)
     edits = np.floor(length * edit_rate).astype(int)
     least = np.maximum(1, length + 1 - Q * (edits + 1))
-    diagonal, half = at - place, np.maximum(1, edits[item])
+    half = np.maximum(1, edits[item])
+    band = (at - place) // half
+    # bands of two halves, one half apart, so that any e + 1 diagonals in a row lie in one of them
+    row, item, place, at = (np.concatenate([v, v]) for v in (row, item, place, at))
+    band = np.concatenate([band, band - 1])
+    order = np.lexsort((place, band, item, row))
+    r, i, b, p, x = row[order], item[order], band[order], place[order], at[order]
+    cut = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])]))
+    ends = np.append(cut[1:], len(r))
+    enough = (ends - cut) >= least[i[cut]]
     found = []
-    for shift in (0, 1):
-        band = diagonal // half - shift
-        order = np.lexsort((place, band, item, row))
-        r, i, b, p, x = row[order], item[order], band[order], place[order], at[order]
-        cut = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])]))
-        ends = np.append(cut[1:], len(r))
-        for s, e in zip(cut[(ends - cut) >= least[i[cut]]].tolist(), ends[(ends - cut) >= least[i[cut]]].tolist(), strict=True):
-            k = int(i[s])
-            starts = _windows(p[s:e], int(sizes[k]), int(length[k]), int(least[k]))
-            if not len(starts):
-                continue
-            own, step = codes[r[s]], max(1, int(edits[k]))
-            low = int(b[s]) * step - int(base[r[s]])
-            cost = band_edits(items.codes[k], own, starts, int(length[k]), low - step, low + 3 * step)
-            good = starts[cost <= edits[k]]
-            if len(good):
-                held = (p[s:e] >= good[0]) & (p[s:e] < good[-1] + length[k])
-                places = x[s:e][held] - base[r[s]]
-                found.append((int(r[s]), k, int(places.min()), int(places.max()) + Q, int(cost.min())))
+    for s, e in zip(cut[enough].tolist(), ends[enough].tolist(), strict=True):
+        k = int(i[s])
+        starts = _windows(p[s:e], int(sizes[k]), int(length[k]), int(least[k]))
+        if not len(starts):
+            continue
+        own, step = codes[r[s]], max(1, int(edits[k]))
+        low = int(b[s]) * step - int(base[r[s]])
+        cost = band_edits(items.codes[k], own, starts, int(length[k]), low - step, low + 3 * step)
+        good = starts[cost <= edits[k]]
+        if len(good):
+            held = (p[s:e] >= good[0]) & (p[s:e] < good[-1] + length[k])
+            places = x[s:e][held] - base[r[s]]
+            found.append((int(r[s]), k, int(places.min()), int(places.max()) + Q, int(cost.min())))
     merged: list[tuple] = []
     for one in sorted(found):
         if merged and merged[-1][:2] == one[:2] and one[2] < merged[-1][3]:

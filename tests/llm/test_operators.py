@@ -232,6 +232,32 @@ def test_band_edits_equals_edit_distance():
         assert decontaminate.band_edits(item, text, np.array([0]), 30, -30, 30)[0] == best.min()
 
 
+@pytest.mark.parametrize("size, edits", [(31, 1), (40, 2), (60, 3), (81, 4), (81, 5), (120, 5)])
+def test_leaks_of_edited_items_at_all_offsets(size, edits):
+    """Insertions, deletions and changes up to the budget, wherever they fall in the bands, against edit distance."""
+    rng = np.random.default_rng(size + edits)
+    letters = list("abcdefghijklmnopqrstuvwxyz ")
+    item = "".join(rng.choice(letters, size))
+    length = min(size, decontaminate.STRETCH)
+    budget, items = int(length * decontaminate.EDIT_RATE), decontaminate.Items.of([(0, item)])
+    texts, leaked, least = [], [], []
+    for kind in ("insert", "delete", "change", "mixed"):
+        for n in (edits, budget + 1):
+            for offset in range(12):
+                lead, changed = "".join(rng.choice(letters, 100 + offset)), list(item)
+                for k in np.linspace(0, size - 1, n + 2).astype(int)[-2:0:-1].tolist():
+                    how = kind if kind != "mixed" else str(rng.choice(["insert", "delete", "change"]))
+                    changed[k : k + (how != "insert")] = [] if how == "delete" else ["#"]
+                texts.append(lead + "".join(changed) + "".join(rng.choice(letters, 100)))
+                own, codes = decontaminate.characters(texts[-1]), decontaminate.characters(item)
+                whole = [decontaminate.band_edits(codes, own, np.array([s]), length, -size, len(own))[0] for s in range(size - length + 1)]
+                leaked.append(min(whole) <= budget)
+                least.append(min(whole))
+    got = decontaminate.leaks(texts, items)
+    assert [row for row, *_ in got] == [i for i, x in enumerate(leaked) if x] and sum(leaked) >= 48
+    assert [e for *_, e in got] == [least[row] for row, *_ in got]
+
+
 def test_token_files(spark, docs, texts, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
