@@ -9,9 +9,9 @@ is known exactly, from the words themselves.
 
 A task sends a block of documents' packed strings to a bucket as one compressed row; a string that occurs
 more than once in the block is sent once, with its occurrences. A string with over ``HOT`` occurrences in a block
-(a passage of a large share of all documents) is sent with its least id alone; its occurrences stay apart
-and meet the bucket's verdict in a join on the string's digest, which Spark splits over tasks. No task thus gets all occurrences of
-a common passage. The verdicts on occurrences come back as word ranges by document.
+(a passage of a large share of all documents) is sent with its least id alone; its occurrences stay apart: the same reading
+of the texts deals them over all buckets, and they meet the string's verdict in a join on its digest, which Spark splits over tasks. No task thus
+gets all occurrences of a common passage. The verdicts on occurrences come back as word ranges by document.
 
 Defined results: words are runs of other than ASCII white space, unchanged; null texts have none, and texts of
 fewer than ``window`` words lose none. Rows with equal ids are one document: they do not remove each other's windows,
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, slices, staged
+from .common import crc, fresh, slices, staged
 
 WINDOW, SEED_WORDS = 13, 3
 #: Text bytes of a block, occurrences from which a string's go apart, buckets for a shuffle partition, windows of a string.
@@ -141,9 +141,8 @@ def covered(start: int, least: list[int], own: int, window: int) -> Iterator[tup
         yield lo, hi
 
 
-PACKED = "bucket long, strings binary, sizes binary, seeds binary, leasts binary, hot binary, string_of binary, doc_of binary, start_of binary, raw_size long, n_calm long, n_known long"
-OCCURRENCES = "digest binary, doc_of binary, start_of binary"
-RANGES = "doc_id long, text_hash long, lo int, hi int, digest binary, least array<long>"
+PACKED = "bucket long, strings binary, sizes binary, seeds binary, leasts binary, hot binary, string_of binary, doc_of binary, start_of binary, raw_size long, n_calm long, n_known long, digest binary"
+RANGES = "doc_id long, text_hash long, lo int, hi int, digest binary, least array<long>, doc_of binary, start_of binary, n_calm long"
 
 
 def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -153,7 +152,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).cast("binary").alias("text"))
     rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
-    def send(batches: Iterator[pa.RecordBatch], hot_ones: bool) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BLOCK_BYTES):
             ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)], 1)
             words, start, end, seed, text, first = super_kmers(batch.column(2).to_pylist(), window)
@@ -161,18 +160,17 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                yield from bucket_rows(int(bucket[order[a]]), words, order[a:b], start, end, seed, ids[text], first, hot_ones)
+                yield from bucket_rows(int(bucket[order[a]]), words, order[a:b], start, end, seed, ids[text], first)
 
-    def bucket_rows(bucket: int, words: bytes, at: np.ndarray, start, end, seed, ids, first, hot_ones: bool) -> Iterator[pa.RecordBatch]:
-        """A bucket's row of packed strings, or (hot_ones) the occurrences that stay apart."""
+    def bucket_rows(bucket: int, words: bytes, at: np.ndarray, start, end, seed, ids, first) -> Iterator[pa.RecordBatch]:
+        """A bucket's row of packed strings, and a row for each string whose occurrences stay apart."""
         number: dict[bytes, int] = {}
         of = np.array([number.setdefault(words[s:e], len(number)) for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True)])
         hot, strings = np.bincount(of, minlength=len(number)) > HOT, list(number)
-        if hot_ones:
-            for k in np.flatnonzero(hot):
-                own = at[of == k]
-                yield pa.RecordBatch.from_pylist([{"digest": hashlib.sha256(strings[k]).digest(), "doc_of": ids[own].astype("<i8").tobytes(), "start_of": first[own].astype("<u4").tobytes()}], schema=APART)
-            return
+        for k in np.flatnonzero(hot):
+            own, digest = at[of == k], hashlib.sha256(strings[k]).digest()
+            spread = crc(digest + ids[own[0]].tobytes()) % buckets  # any bucket: there the row is passed on as it is
+            yield pa.RecordBatch.from_pylist([{"bucket": spread, "digest": digest, "doc_of": _squeeze(ids[own].astype("<i8").tobytes()), "start_of": _squeeze(first[own].astype("<u4").tobytes()), "n_calm": len(own)}], schema=SENT)
         least = np.full(len(number), 2**63 - 1)
         np.minimum.at(least, of, ids[at, 0])
         seeds = np.zeros(len(number), np.uint64)
@@ -190,6 +188,9 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
+                if row["digest"] is not None:
+                    yield pa.RecordBatch.from_pylist([{c: row[c] for c in ("digest", "doc_of", "start_of", "n_calm")}], schema=FOUND)
+                    continue
                 if held and held[-1]["bucket"] != row["bucket"]:
                     yield from verdicts(held)
                     held = []
@@ -243,27 +244,29 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
             yield ranges(rows)
 
     def ranges(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), FOUND.types, strict=True)], schema=FOUND)
+        columns = [*zip(*rows, strict=True), *[[None] * len(rows)] * 3]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, FOUND.types, strict=True)], schema=FOUND)
 
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, starts = np.frombuffer(row["doc_of"], "<i8").reshape(-1, 2), np.frombuffer(row["start_of"], "<u4")
+                n = row["n_calm"]
+                ids, starts = np.frombuffer(_loosen(row["doc_of"], 16 * n), "<i8").reshape(-1, 2), np.frombuffer(_loosen(row["start_of"], 4 * n), "<u4")
                 found = [(int(d), int(h), lo, hi, None, None) for (d, h), s in zip(ids, starts, strict=True) for lo, hi in covered(int(s), row["least"], int(d), window)]
                 if found:
                     yield ranges(found)
 
-    strings = rows.mapInArrow(lambda b: send(b, False), PACKED).repartition("bucket").sortWithinPartitions("bucket")
+    strings = rows.mapInArrow(send, PACKED).repartition("bucket").sortWithinPartitions("bucket")
     judged = staged(strings.mapInArrow(judge, RANGES), "judged")
-    # its bucket told a hot string's verdict once; its occurrences come in one row a block, from a second reading
-    # of the texts, which costs less than keeping all packed strings a second time
-    hot = staged(rows.mapInArrow(lambda b: send(b, True), OCCURRENCES), "apart")
-    hot = hot.join(judged.where("digest IS NOT NULL").select("digest", "least"), "digest").mapInArrow(apart, RANGES)
+    # its bucket told a hot string's verdict once; its occurrences come in one row a block, from the same reading
+    # of the texts, as another reading could cut other blocks, in which other strings are hot
+    hot = judged.where("doc_of IS NOT NULL").select("digest", "doc_of", "start_of", "n_calm")
+    hot = hot.join(judged.where("least IS NOT NULL").select("digest", "least"), "digest").mapInArrow(apart, RANGES)
     return judged.where("digest IS NULL").union(hot).select("doc_id", "text_hash", "lo", "hi")
 
 
-FOUND = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("digest", pa.binary()), ("least", pa.list_(pa.int64()))])
-SENT, APART = (pa.schema([(n, pa.int64() if t == "long" else pa.binary()) for n, t in (c.split() for c in columns.split(", "))]) for columns in (PACKED, OCCURRENCES))
+FOUND = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("digest", pa.binary()), ("least", pa.list_(pa.int64())), ("doc_of", pa.binary()), ("start_of", pa.binary()), ("n_calm", pa.int64())])
+SENT = pa.schema([(n, pa.int64() if t == "long" else pa.binary()) for n, t in (c.split() for c in PACKED.split(", "))])
 
 
 def _lost(n: int, ranges: list[dict]) -> np.ndarray:

@@ -328,6 +328,26 @@ def test_substring_dedup(spark, docs, texts, empty, monkeypatch, hot):
     assert substrings.removed_words(empty).count() == 0
 
 
+def test_substring_dedup_under_changing_blocks(spark, monkeypatch):
+    """A passage that is hot in the blocks of the first job, and would not be in those of any later one."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, write = spark.conf.get(batch), substrings.staged
+
+    def staged(df, name, *more):
+        out = write(df, name, *more)
+        spark.conf.set(batch, "10")
+        return out
+
+    monkeypatch.setattr(substrings, "staged", staged)
+    passage = prose(70, 100)
+    docs = spark.createDataFrame([(i, f"lead{i} {passage} tail{i}") for i in range(100)], "doc_id long, text string").coalesce(1)
+    try:
+        got = {r.doc_id: r.n_removed for r in substrings.removed_words(docs).collect()}
+    finally:
+        spark.conf.set(batch, before)
+    assert got == {i: 100 * (i > 0) for i in range(100)}
+
+
 def test_toxicity(spark, empty):
     rng = np.random.default_rng(2)
     rows, labels = [], []
