@@ -6,7 +6,7 @@ languages are then told apart by a linear SVM for each pair, by votes (ties: sum
 
 Learning reads the text and language of rows outside the held-out fold, with non-null language and id;
 of each language at most ``per_language`` rows, those of least id hash (a documented bound: their
-feature vectors go to the driver). All rows are predicted, whole.
+feature vectors go to the driver), and of rows with equal id and language the one of least text hash. All rows are predicted, whole.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; so is every row if
 nothing can be learned; a single learned language is predicted for all texts with letters. A
@@ -141,7 +141,8 @@ def learn(docs: DataFrame, per_language: int = 500, id_column: str = "doc_id", t
             x = features(batch.column(1).to_pylist()).astype(np.float16)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary())], names=["lang", "x"])
 
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")  # bounded by per_language
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"])  # bounded by per_language
+    sample = sample.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")).select("lang", "least.text")  # of repeated ids, one row
     got = sample.mapInArrow(run, "lang string, x binary").collect()
     got.sort(key=lambda r: (r["lang"], r["x"]))
     x = np.array([np.frombuffer(r["x"], np.float16) for r in got], np.float32).reshape(len(got), 1 << BITS)

@@ -6,7 +6,7 @@ punctuation and its runs, of disguised words (digits or signs for letters, inner
 stretched letters), repeated words, and length. Words are compared with disguises undone.
 
 Learning reads labelled rows outside the held-out fold: at most ``most_rows`` of them, those of least id hash
-(a documented bound: their features go to the driver). Two thirds grow the trees and one
+(a documented bound: their features go to the driver), and of rows with equal id the one of least text hash. Two thirds grow the trees and one
 third, kept apart by hash, calibrates their margins. A document's label is 1 if any of its labels is.
 
 Defined results: a null or empty text has all-zero features and is scored like any other;
@@ -196,7 +196,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_word
     marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = staged(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows), "toxicity-sample")
     texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    sample = staged(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "toxicity-texts")  # bounded by most_rows
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    sample = staged(sample.select("doc_id", "least.text", "toxic"), "toxicity-texts")  # bounded by most_rows: of repeated ids, one row
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):

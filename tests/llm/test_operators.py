@@ -372,6 +372,22 @@ def test_toxicity(spark, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_learning_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    """The bounds on learned rows hold if one chosen id stands in most rows."""
+    rows = [(i, f"the and with {'idiot ' * (i % 3 == 0)}alpha{i}", "en" if i % 2 else "de") for i in range(30)]
+    rows += [(k, f"the and this from {n % 5}", "en" if k % 2 else "de") for k in (1, 3, 4) for n in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = [i for i in range(30) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert set(learned) & {1, 3, 4}
+    sizes = []
+    monkeypatch.setattr(language.LanguageModel, "fit", lambda x, langs: sizes.append(len(x)))
+    language.learn(docs)
+    monkeypatch.setattr(toxicity.Trees, "fit", lambda x, y: sizes.append(len(y)) or toxicity.Trees())
+    monkeypatch.setattr(toxicity, "isotonic", lambda margin, y: sizes.append(len(y)))
+    toxicity.learn(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(30)], "doc_id long, toxic int"))
+    assert sizes[0] == sum(sizes[1:]) == len(learned)
+
+
 def test_isotonic_is_monotone_and_pools():
     at, p = toxicity.isotonic(np.array([1.0, 2, 3, 4, 5]), np.array([0.0, 1, 0, 1, 1]))
     assert (np.diff(p) >= 0).all() and np.interp(2.5, at, p) == 0.5 and np.interp(0, at, p) == 0
