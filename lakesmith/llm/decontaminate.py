@@ -11,7 +11,10 @@ Texts are compared as characters with A-Z lower-cased and each ASCII white space
 The benchmark is the stated query set: it is held by every task in blocks of at most ``block_chars``
 characters, and a larger benchmark takes one pass over the documents for each block.
 
-Defined results: null and empty texts leak nothing; items of fewer than ``least_item`` characters or with null text are no evidence and
+An item of fewer than ``least_item`` characters, which the bound on q-grams does not reach, is leaked where it stands whole and
+unchanged between word ends (letters and digits of scripts that space their words); at its edges white space does not count.
+
+Defined results: null and empty texts leak nothing; items with null text or without a letter or digit are no evidence if so short, and
 are left out; repeated rows and equal or null ids are judged row by row; an item that occurs in several places of a document
 gives a row for each; an empty benchmark leaks nothing. Extra columns are not read.
 """
@@ -83,9 +86,12 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     sieve: np.ndarray
+    #: By size, the items that are met whole: sorted names, characters and item of each.
+    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     @classmethod
     def of(cls, rows: list[tuple], least_item: int = LEAST_ITEM) -> Items:
+        brief = [(i, characters(t.strip())) for i, t in rows if t is not None and len(t) < least_item and any(c.isalnum() for c in t)]
         rows = [(i, c) for i, t in rows if t is not None and len(c := characters(t)) >= least_item]
         codes = [c for _, c in rows]
         own = [grams(c) for c in codes]
@@ -95,7 +101,13 @@ class Items:
         order = np.argsort(names, kind="stable")
         sieve = np.zeros(1 << SIEVE_BITS, bool)
         sieve[names >> np.uint64(64 - SIEVE_BITS)] = True
-        return cls([i for i, _ in rows], codes, names[order], item[order], place[order], sieve)
+        short = {}
+        for size in {len(c) for _, c in brief}:
+            at = np.array([k for k, (_, c) in enumerate(brief) if len(c) == size])
+            own_names = np.concatenate([grams(brief[k][1], size) for k in at])
+            own_order = np.argsort(own_names, kind="stable")
+            short[size] = own_names[own_order], np.stack([brief[k][1] for k in at[own_order]]), len(rows) + at[own_order]
+        return cls([i for i, _ in [*rows, *brief]], codes, names[order], item[order], place[order], sieve, short)
 
 
 def _windows(places: np.ndarray, size: int, length: int, least: int) -> np.ndarray:
@@ -107,6 +119,36 @@ def _windows(places: np.ndarray, size: int, length: int, least: int) -> np.ndarr
     return starts[seen[starts + length - Q + 1] - seen[starts] >= least]
 
 
+def _met(names: np.ndarray, at: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, entry of ``known``) for all equal names at the places ``at``."""
+    first, last = (np.searchsorted(known, names[at], side) for side in ("left", "right"))
+    many = last - first
+    at, first, many = at[many > 0], first[many > 0], many[many > 0]
+    if not len(at):
+        return at, first
+    return np.repeat(at, many), np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+
+
+def _whole(text: np.ndarray, base: np.ndarray, items: Items) -> list[tuple]:
+    """The places of the short items, as in ``leaks``."""
+    found: list[tuple] = []
+    if not items.short:
+        return found
+    kinds, of = np.unique(text, return_inverse=True)
+    word = np.array([c < 0xE00 and chr(c).isalnum() for c in kinds.tolist()], bool)[of]  # scripts from Thai on: mostly no spaces
+    for size, (known, letters, item) in items.short.items():
+        names = grams(text, size)
+        at, entry = _met(names, np.arange(len(names)), known)
+        row, end = np.searchsorted(base, at, "right") - 1, at + size
+        good = end <= base[row + 1]
+        good &= (at == base[row]) | ~word[at - 1] | ~word[at]
+        good &= (end >= base[row + 1]) | ~word[np.minimum(end, len(text) - 1)] | ~word[end - 1]
+        good &= (text[at[:, None] + np.arange(size)] == letters[entry]).all(axis=1)
+        at, row, entry = at[good], row[good], entry[good]
+        found += [(r, k, a, a + size, 0) for r, k, a in zip(row.tolist(), item[entry].tolist(), (at - base[row]).tolist(), strict=True)]
+    return found
+
+
 def leaks(texts: list[str], items: Items, stretch: int = STRETCH, edit_rate: float = EDIT_RATE) -> list[tuple]:
     """(row, item index, start and end in the text, least edits) of every leak."""
     codes = [characters(t) for t in texts]
@@ -114,15 +156,20 @@ def leaks(texts: list[str], items: Items, stretch: int = STRETCH, edit_rate: flo
         return []
     base = np.cumsum([0] + [len(c) for c in codes])
     text = np.concatenate(codes)
+    merged: list[tuple] = []
+    for one in sorted(_whole(text, base, items) + _edited(codes, text, base, items, stretch, edit_rate)):
+        if merged and merged[-1][:2] == one[:2] and one[2] < merged[-1][3]:
+            before = merged.pop()
+            one = (*one[:2], before[2], max(before[3], one[3]), min(before[4], one[4]))
+        merged.append(one)
+    return merged
+
+
+def _edited(codes: list[np.ndarray], text: np.ndarray, base: np.ndarray, items: Items, stretch: int, edit_rate: float) -> list[tuple]:
+    """The places of the other items, some of them twice."""
     names = grams(text)
     maybe = np.flatnonzero(items.sieve[names >> np.uint64(64 - SIEVE_BITS)])
-    first, last = (np.searchsorted(items.names, names[maybe], side) for side in ("left", "right"))
-    many = last - first
-    maybe, first, many = maybe[many > 0], first[many > 0], many[many > 0]
-    if not len(maybe):
-        return []
-    at = np.repeat(maybe, many)
-    entry = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+    at, entry = _met(names, maybe, items.names)
     row = np.searchsorted(base, at, "right") - 1
     inside = at + Q <= base[row + 1]  # not over a text's end
     at, entry, row = at[inside], entry[inside], row[inside]
@@ -157,13 +204,7 @@ def leaks(texts: list[str], items: Items, stretch: int = STRETCH, edit_rate: flo
             held = (p[s:e] >= good[0]) & (p[s:e] < good[-1] + length[k])
             places = x[s:e][held] - base[r[s]]
             found.append((int(r[s]), k, int(places.min()), int(places.max()) + Q, int(cost.min())))
-    merged: list[tuple] = []
-    for one in sorted(found):
-        if merged and merged[-1][:2] == one[:2] and one[2] < merged[-1][3]:
-            before = merged.pop()
-            one = (*one[:2], before[2], max(before[3], one[3]), min(before[4], one[4]))
-        merged.append(one)
-    return merged
+    return found
 
 
 def _blocks(benchmark: DataFrame, id_column: str, text_column: str, block_chars: int) -> Iterator[Items]:

@@ -258,6 +258,16 @@ def test_leaks_of_edited_items_at_all_offsets(size, edits):
     assert [e for *_, e in got] == [least[row] for row, *_ in got]
 
 
+def test_short_items_leak_whole_and_word_bounded(spark):
+    items = {0: "The Answer", 1: "42", 2: " - ", 3: "", 4: None, 5: "nineteen characters", 6: "東京都庁", 7: "42"}
+    texts = ["it is the answer: 42", "the answers 421 x42", "42", "THE\tANSWER", "nineteen characterz", "nineteen characters!", "彼は東京都庁にいる", "", None, "4", "2 - the answer"]
+    expect = {(0, 0, 6, 16), (0, 1, 18, 20), (0, 7, 18, 20), (2, 1, 0, 2), (2, 7, 0, 2), (3, 0, 0, 10), (5, 5, 0, 19), (6, 6, 2, 6), (10, 0, 4, 14)}
+    docs, bench = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), spark.createDataFrame([*items.items()], "item_id long, text string")
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert len(got) == len(expect) and {(r.doc_id, r.item_id, r.start, r.end) for r in got} == expect and {r.edits for r in got} == {0}
+    assert {r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()} == {1, 4, 7, 8, 9}
+
+
 def test_token_files(spark, docs, texts, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
