@@ -144,7 +144,8 @@ class WordEncoder:
 
     The vocabulary's normaliser works by character (white space to one space, lower case, NFC, none of which
     crosses ASCII white space) and its pre-tokeniser drops white space, so a text's ids are its
-    words' ids. Words of a-z alone need neither and go to the library's model as they are. What was
+    words' ids. A text that holds the string of an added token, in whatever case, is encoded whole. Words of a-z
+    alone need neither and go to the library's model as they are. What was
     not met in the last blocks is forgotten, so memory is bounded.
     """
 
@@ -153,7 +154,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library.encode_special_tokens = True  # for words; a text that holds an added token's string goes whole to the other
+        self.default = Tokenizer.from_file(path)
+        self.added = [t.content.encode().lower() for t in self.default.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -175,10 +178,15 @@ class WordEncoder:
                 self.known[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        words = [WORD_END.sub(rb" \g<0>", t.lower()).split() for t in texts]  # of bytes: ASCII alone
+        low = [t.lower() for t in texts]  # of bytes: ASCII alone
+        whole = {i for i, t in enumerate(low) if any(a in t for a in self.added)}
+        words = [[] if i in whole else WORD_END.sub(rb" \g<0>", t).split() for i, t in enumerate(low)]
         self._learn(set().union(*words))
         get, end = self.known.__getitem__, np.array([end_id], "<u4").tobytes()
-        return [b"".join(map(get, ws)) + end for ws in words]
+        found = [b"".join(map(get, ws)) + end for ws in words]
+        for i in whole:
+            found[i] = array("I", self.default.encode(texts[i].decode(), add_special_tokens=False).ids).tobytes() + end
+        return found
 
 
 @lru_cache(maxsize=2)

@@ -283,6 +283,15 @@ def test_token_files(spark, docs, texts, empty):
     assert token_files.pack_documents(spark, empty, path, end_id=2).count() == 0
 
 
+def test_added_tokens_in_a_text_are_encoded_as_the_library_does():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), token_files.WordEncoder(path)
+    texts = ["", "plain words", "a<|startoftext|>B", "Über <|endoftext|> é!", "<|EndOfText|> <|endoftext|", "<|startoftext|><|endoftext|>"]
+    expect = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert {49406, 49407} <= {i for ids in expect for i in ids}
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in texts], 2)] == [[*ids, 2] for ids in expect]
+
+
 class _Source(io.BytesIO):
     def size(self):
         return len(self.getvalue())
