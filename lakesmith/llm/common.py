@@ -21,6 +21,11 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, *LOWER)
 
 
+def ascii_lowered(col: Column) -> Column:
+    """The same as ``lower_ascii``; texts of ASCII alone take the quick way."""
+    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(lower_ascii(col))
+
+
 def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet below the shared scratch folder, and read back.
 

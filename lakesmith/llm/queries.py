@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, language, parsing, simhash, substrings, token_files, toxicity, url_filter, warc
+from . import bpe, decontaminate, language, line_runs, merkle, parsing, simhash, substrings, token_files, toxicity, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -105,3 +105,84 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that 13-word windows of documents with smaller ids repeat."""
     return substrings.removed_words(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents that five or more documents hold go, except in the one with the largest id."""
+    return line_runs.line_report(table(spark, sf_dir, "documents"), least_chars=40, least_docs=5)
+
+
+SQL["op11_line_dedup"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT rid, doc_id, pos, lines[pos] AS line,
+         translate(trim(lines[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT rid, doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM docs)
+), common AS (
+  SELECT key, max(doc_id) AS holder FROM lines WHERE length(key) >= 40 AND doc_id IS NOT NULL GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT l.rid, l.doc_id, l.pos, l.line, coalesce(l.doc_id < c.holder, false) AS gone FROM lines l LEFT JOIN common c ON l.key = c.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY rid
+"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hash tree over all documents of each language and over the languages; every row's proof, folded from a partly altered copy."""
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.lowered_claims(docs))
+
+
+SQL["op12_merkle_manifest"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, *, CAST(doc_id AS VARCHAR) AS id_text,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+), crc AS (
+  SELECT *, xor(list_reduce([ascii(c) FOR c IN string_split(id_text, '')],
+    lambda have, byte: list_reduce(range(8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), xor(have, byte)), 4294967295), 4294967295) AS crc FROM docs
+), fields AS (
+  SELECT rid, doc_id, lang, low, text, crc,
+         coalesce(strlen(id_text) || ':' || id_text, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head
+  FROM crc
+), leaves AS (
+  SELECT rid, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(text) || ':' || CASE WHEN crc % 3 = 0 THEN low ELSE text END, '-')) AS claim
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), tree(lang, n, lvl, pos, digest) AS (
+  SELECT lang, n, 0, pos, leaf FROM placed
+  UNION ALL
+  SELECT lang, (n + 7) // 8, lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY lang, n, lvl, pos // 8
+), subroots AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+), over_tree(n, lvl, pos, digest) AS (
+  SELECT n, 0, pos, subroot FROM subroots
+  UNION ALL
+  SELECT (n + 7) // 8, lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM over_tree WHERE n > 1 GROUP BY n, lvl, pos // 8
+), sib AS (
+  SELECT a.lang, a.lvl, a.pos, string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos) AS l, string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos) AS r
+  FROM tree a JOIN tree b ON a.lang IS NOT DISTINCT FROM b.lang AND a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY a.lang, a.lvl, a.pos
+), over_sib AS (
+  SELECT a.lvl, a.pos, string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos) AS l, string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos) AS r
+  FROM over_tree a JOIN over_tree b ON a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY a.lvl, a.pos
+), steps AS (
+  SELECT rid, s.lvl, coalesce(s.l, '') AS l, coalesce(s.r, '') AS r FROM placed p JOIN sib s ON p.lang IS NOT DISTINCT FROM s.lang AND s.pos = p.pos // CAST(8 ** s.lvl AS BIGINT)
+  UNION ALL
+  SELECT rid, 1000 + s.lvl, coalesce(s.l, ''), coalesce(s.r, '') FROM placed p JOIN subroots t ON p.lang IS NOT DISTINCT FROM t.lang JOIN over_sib s ON s.pos = t.pos // CAST(8 ** s.lvl AS BIGINT)
+), paths AS (
+  SELECT rid, list({'l': l, 'r': r} ORDER BY lvl) AS path, sha256(string_agg(l || r, '' ORDER BY lvl)) AS proof FROM steps GROUP BY rid
+), folded AS (
+  SELECT p.*, coalesce(proof, sha256('')) AS proof, coalesce(list_reduce([s FOR s IN path], lambda have, s: {'l': '', 'r': sha256(s.l || have.r || s.r)}, {'l': '', 'r': claim}).r, claim) AS folded
+  FROM placed p LEFT JOIN paths USING (rid)
+)
+SELECT f.doc_id, leaf, subroot, (SELECT digest FROM over_tree WHERE n = 1) AS root, proof AS proof_sha256, folded AS folded_root,
+       folded = (SELECT digest FROM over_tree WHERE n = 1) AS verified
+FROM folded f JOIN subroots t ON f.lang IS NOT DISTINCT FROM t.lang
+"""
