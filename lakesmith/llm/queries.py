@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import bpe, decontaminate, language, line_runs, merkle, parsing, simhash, substrings, token_files, toxicity, url_filter, warc
+from . import bpe, collocations, decontaminate, language, line_runs, merkle, parsing, simhash, substrings, token_files, toxicity, url_filter, warc
 from .common import QueryFn
 
 QUERIES: dict[str, QueryFn] = {}
@@ -186,3 +186,44 @@ SELECT f.doc_id, leaf, subroot, (SELECT digest FROM over_tree WHERE n = 1) AS ro
        folded = (SELECT digest FROM over_tree WHERE n = 1) AS verified
 FROM folded f JOIN subroots t ON f.lang IS NOT DISTINCT FROM t.lang
 """
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of 2 to 4 words of each language, from n-gram counts over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, share=80, most=2000)
+
+
+SQL["op13_collocations"] = r"""
+WITH low AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM low)
+), counts AS (
+  SELECT lang, len, phrase, count(*) AS f
+  FROM (SELECT lang, len, w[i : i + len - 1] AS phrase
+        FROM (SELECT lang, w, len, unnest(range(1, len(w) - len + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS len) WHERE len(w) >= len))
+  GROUP BY lang, len, phrase
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE len = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM counts WHERE f >= 30
+), cuts AS (
+  SELECT c.lang, c.len, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len)) AS k FROM often WHERE len > 1) c
+  JOIN often x ON x.lang = c.lang AND x.phrase = c.phrase[1 : k] JOIN often y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1 : c.len]
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, phrase[i : i + short - 1] AS phrase, max(f) AS longer
+  FROM (SELECT lang, len, phrase, f, short, unnest(range(1, len - short + 2)) AS i FROM often, (SELECT unnest([2, 3]) AS short) WHERE len > short)
+  GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN inside i ON s.lang = i.lang AND s.phrase = i.phrase WHERE NOT coalesce(100 * CAST(longer AS HUGEINT) >= 80 * CAST(a AS HUGEINT), false)
+), ranked AS (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank FROM kept
+)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON r.lang = t.lang WHERE rank <= 2000
+"""
