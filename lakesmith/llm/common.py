@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -59,8 +62,17 @@ def utf8_bytes(array: pa.Array) -> list[bytes | None]:
     return array.cast(kind).to_pylist()
 
 
+def give_back() -> None:
+    """Memory that earlier tasks of this reused Python worker have freed goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only there with glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that no piece holds over ``most_bytes`` of text (or one row)."""
+    give_back()
     for batch in batches:
         lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0).to_pylist()
         first, total = 0, 0

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc, fresh, slices, staged
+from .common import crc, fresh, give_back, slices, staged
 
 WINDOW, SEED_WORDS = 13, 3
 #: Text bytes of a block, occurrences from which a string's go apart, buckets for a shuffle partition, windows of a string.
@@ -185,6 +185,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
         }], schema=SENT)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
@@ -276,9 +277,9 @@ def _lost(n: int, ranges: list[dict]) -> np.ndarray:
     return gone
 
 
-def with_ranges(docs: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """``docs`` with one more, last column: the removed word ranges of the row's text."""
-    held, own_hash, other_id, other_hash = (fresh(docs, n) for n in ("__ranges", "__text_hash", "__id", "__hash"))
+def with_ranges(docs: DataFrame, window: int, id_column: str, text_column: str, held: str) -> DataFrame:
+    """``docs`` with one more, last column ``held``: the removed word ranges of the row's text."""
+    own_hash, other_id, other_hash = (fresh(docs, n) for n in ("__text_hash", "__id", "__hash"))
     ranges = removed_ranges(docs, window, id_column, text_column)
     ranges = staged(ranges.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("lo", "hi")).alias(held)), "removed-ranges")
     ranges = ranges.withColumnsRenamed({"doc_id": other_id, "text_hash": other_hash})
@@ -302,7 +303,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_i
             columns = [pa.array(list(c)) for c in zip(*rows, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = with_ranges(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), window, "doc_id", "text")
+    rows = with_ranges(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), window, "doc_id", "text", "__ranges")
     rows = rows.select("doc_id", F.col("text").cast("binary").alias("text"), "__ranges")
     return rows.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
@@ -310,24 +311,19 @@ def removed_words(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_i
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """``docs`` with the removed words taken out of the texts that have any (kept words joined by one space).
 
-    Other texts stay as they are; ``length_column``, if there, gets the new number of characters."""
-    schema, at = docs.schema, docs.columns.index(text_column)
-    sized = docs.columns.index(length_column) if length_column in docs.columns else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_column, BLOCK_BYTES):
-            columns, texts = batch.columns, batch.column(at).to_pylist()
-            lengths = columns[sized].to_pylist() if sized is not None else None
-            for i, ranges in enumerate(columns[-1].to_pylist()):
-                if ranges and texts[i] is not None:
-                    words = texts[i].encode().split()
-                    texts[i] = b" ".join(w for w, g in zip(words, _lost(len(words), ranges).tolist(), strict=True) if not g).decode()
-                    if lengths is not None:
-                        lengths[i] = len(texts[i])
-            columns = columns[:-1]
-            columns[at] = pa.array(texts, columns[at].type)
-            if lengths is not None:
-                columns[sized] = pa.array(lengths, columns[sized].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
-
-    return with_ranges(docs, window, id_column, text_column).mapInArrow(run, schema)
+    Other texts stay as they are; ``length_column``, if there, gets the new number of characters. The texts stay in the
+    JVM: a text is cut to words only where some go, and each word is looked at once.
+    """
+    ranges, words, kept = (fresh(docs, n) for n in ("__ranges", "__words", "__kept"))
+    rows = with_ranges(docs, window, id_column, text_column, ranges)
+    blank = "[ \\t\\n\\x0B\\f\\r]"
+    cut = F.split(F.regexp_replace(text_column, f"^{blank}+|{blank}+\\z", ""), f"{blank}+")
+    rows = rows.withColumn(words, F.when(F.col(ranges).isNotNull(), cut))
+    gone = F.flatten(F.transform(ranges, lambda r: F.sequence(r["lo"], r["hi"] - 1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(words) - 1), gone)
+    rows = rows.withColumn(kept, F.when(F.col(words).isNotNull(), F.array_join(F.transform(stay, lambda i: F.col(words)[i]), " ")))
+    new = {text_column: F.coalesce(kept, text_column)}
+    if length_column in docs.columns:
+        size = F.char_length(kept).cast(docs.schema[length_column].dataType)
+        new[length_column] = F.coalesce(size, length_column)
+    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
