@@ -42,10 +42,16 @@ FAMILIES = {
     "koreanic": ["ko"],
 }
 BITS = 12
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and numerals like one half, which are told apart by ``isalpha``.
+WORD_CHARACTER = re.compile(r"[^\W\d_]")
 TABLE = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint32)
 
 
+def has_letter(text: str) -> bool:
+    """Whether the text has a character of Unicode's letter categories; marks and numerals are none."""
+    return any(found.group().isalpha() for found in WORD_CHARACTER.finditer(text))
+
+
 def family_of(lang: str) -> str:
     return next((f for f, own in FAMILIES.items() if lang in own), lang)
 
@@ -157,7 +163,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", t
         for batch in slices(batches, "text", 2 << 20):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [t if t is not None and LETTER.search(t) else None for t in part.column(2).to_pylist()]
+                texts = [t if t is not None and has_letter(t) else None for t in part.column(2).to_pylist()]
                 langs, scores = model.predict(features([t or "" for t in texts]))
                 langs = ["und" if t is None else lang for t, lang in zip(texts, langs, strict=True)]
                 scores = [0.0 if t is None else float(s) for t, s in zip(texts, scores, strict=True)]

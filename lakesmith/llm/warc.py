@@ -5,13 +5,17 @@ for the gzip magic, takes a candidate for a record if its header decodes and beg
 version line, reads on member by member, and owns the records that *start* inside its range (the
 last one may end beyond it). Archives of any size are thus read in parallel, without an index.
 
-Writing: payloads are compared by their SHA-1 and length on (id, digest) rows alone; the payload
-itself moves once, to meet its role by page id. Each task names its archive anew in every attempt
-and its manifest row goes through Spark's committer, so archives of lost attempts are never read.
+Writing: payloads are compared by their SHA-1 and length. Of each distinct payload one copy moves, the others are left
+out before the shuffle, and meets the id and url of its response; revisits are made from the rows' ids, urls and digests alone.
+Each task names its archive anew in every attempt and its manifest row goes through Spark's committer, so archives
+of lost attempts are never read.
+
+Reading: where the magic stands by chance, no WARC version line follows. Where one does, a header or body that does not
+decode, or that the archive's end cuts off, is an error with its path and place; no record is left out.
 
 Defined results: a null payload is empty; of equal payloads of at least ``least_bytes`` the largest
-id is the response and all others revisit it; null ids count as the smallest id; of repeated rows with
-that largest id one is the response; a null url leaves out the target header; an empty table gives an
+id (of equal ids, the largest url) is the response and all others revisit it; null ids count as the smallest id; of repeated rows
+one is the response; a null url leaves out the target header; an empty table gives an
 empty result. Extra columns are not read.
 """
 
@@ -34,8 +38,8 @@ NULL_ID = -(2**63)
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1.1\r\n"
 #: Bytes of a reading task's range, and bytes read from the store at a time.
 SPLIT_BYTES, CHUNK = 32 << 20, 1 << 20
-#: No header of a record is longer.
-MOST_HEADER = 1 << 20
+#: Revisits of equal rows are made from their count in two steps, by this many.
+COPIES = 1000
 
 
 def digest_text(digest: bytes) -> str:
@@ -56,9 +60,9 @@ def _header_value(text: str) -> str:
     return "".join(f"%{ord(c):02X}" if c < " " or c == "\x7f" else c for c in text)
 
 
-def record(page_id: int, url: str | None, payload: bytes, digest: bytes, refers_to: int | None, level: int = 2) -> bytes:
-    """One gzip member: a response with the payload, or a revisit of ``refers_to`` without it."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+def record(page_id: int, url: str | None, payload: bytes | None, digest: bytes, refers_to: int | None, length: int | None = None, level: int = 2) -> bytes:
+    """One gzip member: a response with the payload, or a revisit of ``refers_to`` without it, but with its ``length``."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % (len(payload or b"") if length is None else length)
     block = http if refers_to is not None else http + payload
     lines = [f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {_urn(page_id)}", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
@@ -104,92 +108,100 @@ class _Window:
 
 
 def _begins_record(window: _Window, at: int) -> bool:
-    """Whether a gzip member with a whole WARC header begins here."""
+    """Whether a gzip member that opens with the WARC version line begins here; an error if its header does not end."""
     opener, done, head = zlib.decompressobj(31), at - window.base, b""
-    while True:
+    while b"\r\n\r\n" not in head[-4100:]:
         try:
             head += opener.decompress(window.data[done : done + 4096], 4096)
-        except zlib.error:
+        except zlib.error as error:
+            if head.startswith(VERSION):
+                raise ValueError(f"byte {at}: a record's header does not decode ({error})") from error
             return False
         done = min(done + 4096, len(window.data)) - len(opener.unconsumed_tail)
         if not head.startswith(VERSION[: len(head)]):
             return False
-        if b"\r\n\r\n" in head:
-            return True
-        if opener.eof or len(head) > MOST_HEADER or (done >= len(window.data) and not window.more()):
+        if b"\r\n\r\n" not in head[-4100:] and (opener.eof or (done >= len(window.data) and not opener.unconsumed_tail and not window.more())):
+            if head.startswith(VERSION):
+                raise ValueError(f"byte {at}: a record's header does not end")
             return False
+    return True
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
-    """The decoded member that begins at ``at`` and its end; None if it does not decode."""
+def _member(window: _Window, at: int) -> tuple[bytes, int]:
+    """The decoded member that begins at ``at`` and its end; an error if it does not decode as a whole."""
     opener, done, parts = zlib.decompressobj(31), at - window.base, []
     while not opener.eof:
         if done >= len(window.data) and not window.more():
-            return None
+            raise ValueError(f"byte {at}: the archive ends inside a record")
         piece = window.data[done : done + CHUNK]
         try:
             parts.append(opener.decompress(piece))
-        except zlib.error:
-            return None
+        except zlib.error as error:
+            raise ValueError(f"byte {at}: a record does not decode ({error})") from error
         done += len(piece)
     return b"".join(parts), window.base + done - len(opener.unused_data)
 
 
 def read_split(source, size: int, start: int, end: int) -> Iterator[bytes]:
-    """The decoded records of an archive that start in bytes start..end-1."""
-    window, at = _Window(source, start, size), start
+    """The decoded records of an archive that start in bytes start..end-1.
+
+    The first is searched by the magic; where one ends, the next one begins, or it is an error."""
+    window, at, known = _Window(source, start, size), start, start == 0
     while at < end:
         found = window.data.find(MAGIC, at - window.base)
         if found < 0 or found + len(MAGIC) > len(window.data):
-            keep = max(at, window.base + len(window.data) - len(MAGIC) + 1)
+            keep = at if known else max(at, window.base + len(window.data) - len(MAGIC) + 1)
             if not window.more():
+                if known:
+                    raise ValueError(f"byte {at}: no record begins where the last one ends")
                 return
             window.drop(keep)
             at = keep
             continue
-        at = window.base + found
+        first = window.base + found
+        if known and (first != at or not _begins_record(window, at)):
+            raise ValueError(f"byte {at}: no record begins where the last one ends")
+        at = first
         if at >= end:
             return
-        member = _member(window, at) if _begins_record(window, at) else None
-        if member is None:  # the magic by chance
+        if not known and not _begins_record(window, at):  # the magic by chance
             at += 1
             continue
-        yield member[0]
-        at = member[1]
+        data, at = _member(window, at)
+        yield data
+        known = True
         window.drop(at)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        payloads = batch.column(1).to_pylist()
-        digests = pa.array([hashlib.sha1(p).digest() for p in payloads], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), digests, pa.array([len(p) for p in payloads], pa.int64())], names=["key", "digest", "length"])
-
-
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html") -> DataFrame:
     """One archive a task below ``folder``; the manifest: path and size of each."""
-    payload = F.coalesce(F.col(payload_column), F.lit("")).cast("binary").alias("payload")
+    payload = F.coalesce(F.col(payload_column), F.lit("")).cast("binary")
     key = F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("key")
-    rows = pages.select(key, F.col(url_column).alias("url"), payload)
-    digests = staged(rows.select("key", "payload").mapInArrow(_digests, "key long, digest binary, length long"), "warc-digests")
-    groups = digests.where(F.col("length") >= least_bytes).groupBy("digest", "length").agg(F.max("key").alias("refers"), F.count("*").alias("n"))
-    groups = staged(groups.where("n > 1").drop("n"), "warc-groups")
-    roles = digests.join(groups, ["digest", "length"]).select("key", "digest", "refers").distinct()
-    # an id may have several payloads; the writer tells them apart by digest
-    roles = staged(roles.groupBy("key").agg(F.collect_list(F.struct("digest", "refers")).alias("roles")), "warc-roles")
+    rows = pages.select(key, F.col(url_column).alias("url"), payload.alias("payload"))
+    rows = rows.withColumns({"digest": F.unhex(F.sha1("payload")), "length": F.octet_length("payload").cast("long")})
+    same = ["digest", "length"]
+
+    copies = staged(rows.where(F.col("length") >= least_bytes).groupBy("key", "url", *same).agg(F.count("*").alias("n")), "warc-copies")
+    answers = staged(copies.groupBy(*same).agg(F.max(F.struct("key", "url")).alias("answer"), F.sum("n").alias("all")), "warc-answers")
+    responses = rows.where(F.col("length") >= least_bytes).groupBy(*same).agg(F.first("payload").alias("payload"))
+    none = F.lit(None).cast("long").alias("refers")
+    responses = responses.join(answers, same).select("answer.key", "answer.url", "payload", *same, none)
+    small = rows.where(F.col("length") < least_bytes).select("key", "url", "payload", *same, none)
+
+    met = copies.join(answers.where("all > 1"), same)
+    left = F.col("n") - (F.struct("key", "url").eqNullSafe(F.col("answer"))).cast("long")
+    met = met.withColumn("left", left).where("left > 0")
+    met = met.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("left") - 1) / COPIES))))
+    met = met.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.least(F.lit(COPIES), F.col("left") - F.col("block") * COPIES).cast("int"))))
+    revisits = met.select("key", "url", F.lit(None).cast("binary").alias("payload"), *same, F.col("answer.key").alias("refers"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
-        out, path, size, answered = None, f"{root}/{uuid.uuid4().hex}.warc.gz", 0, set()
+        out, path, size = None, f"{root}/{uuid.uuid4().hex}.warc.gz", 0
         for batch in slices(batches, "payload", 16 << 20):
             for row in batch.to_pylist():
-                digest, page_id = hashlib.sha1(row["payload"]).digest(), row["key"]
-                refers = next((r["refers"] for r in row["roles"] or () if r["digest"] == digest), None)
-                if refers == page_id:  # the response, once
-                    refers = page_id if (page_id, digest) in answered else None
-                    answered.add((page_id, digest))
-                data = record(page_id, row["url"], row["payload"], digest, refers)
+                data = record(row["key"], row["url"], row["payload"], row["digest"], row["refers"], row["length"])
                 if out is None:
                     out = fs.open_output_stream(path, compression=None)
                 out.write(data)
@@ -198,9 +210,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_colum
             out.close()
             yield pa.RecordBatch.from_pylist([{"path": path, "size": size}])
 
-    # pages with one id meet in one task (ids are spread evenly), so its answers are known there
-    met = rows.repartition("key").join(roles, "key", "left").select("key", "url", "payload", "roles")
-    return staged(met.mapInArrow(write, "path string, size long"), "warc-manifest")
+    return staged(responses.unionAll(small).unionAll(revisits).mapInArrow(write, "path string, size long"), "warc-manifest")
 
 
 def read_archives(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -214,11 +224,14 @@ def read_archives(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYT
             for split in batch.to_pylist():
                 with fs.open_input_file(split["path"]) as source:
                     found = []
-                    for data in read_split(source, split["size"], split["start"], min(split["size"], split["start"] + split_bytes)):
-                        found.append(_row(parse_record(data)))
-                        if len(found) == 5000:
-                            yield pa.RecordBatch.from_pylist(found, schema=OUT)
-                            found = []
+                    try:
+                        for data in read_split(source, split["size"], split["start"], min(split["size"], split["start"] + split_bytes)):
+                            found.append(_row(parse_record(data)))
+                            if len(found) == 5000:
+                                yield pa.RecordBatch.from_pylist(found, schema=OUT)
+                                found = []
+                    except ValueError as error:
+                        raise ValueError(f"{split['path']}: {error}") from error
                     if found:
                         yield pa.RecordBatch.from_pylist(found, schema=OUT)
 

@@ -442,6 +442,44 @@ def test_warc_splits_own_each_record_once():
         assert got == payloads
 
 
+def test_warc_keeps_long_headers_and_null_ids(spark):
+    """A url of 2 MiB, half of the ids null, and equal rows."""
+    rows = [(None if i % 2 else i, "http://h/" + "u" * (2 << 20) * (i == 4), f"payload {i % 7}") for i in range(60)] + [(58, "same", "payload 2")] * 2500
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = warc.archive_pages(spark, pages).collect()
+    best = {}
+    for i, _, h in rows:
+        best[h] = max(best.get(h, -1), -1 if i is None else i)
+    want = Counter()
+    for h, top in best.items():
+        want[(top, h, "response", None)] += 1
+    for i, _, h in rows:
+        want[(i, h, "revisit", best[h])] += 1
+    for h, top in best.items():
+        want[(top, h, "revisit", top)] -= 1
+    sha = {base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(): h for h in best}
+    assert Counter((r.page_id, sha[r.payload_digest], r.record_type, r.refers_to) for r in got) == +want
+    small = Counter((r.page_id, r.record_type) for r in warc.read_archives(warc.write_archives(pages, warc.scratch_uri(spark, "small"), least_bytes=100), warc.scratch_uri(spark, "small")).collect())
+    assert small == Counter((i, "response") for i, _, _ in rows)
+
+
+def test_warc_raises_on_damaged_records():
+    rng = np.random.default_rng(11)
+    parts = [warc.record(i, None, rng.integers(0, 256, 3000, dtype=np.uint8).tobytes(), b"x" * 20, None) for i in range(3)]
+    whole = b"".join(parts)
+    at = len(parts[0])
+    read = lambda data: list(warc.read_split(_Source(data), len(data), 0, len(data)))
+    assert len(read(whole)) == 3
+    for damaged in (whole[: at + 1500] + b"\x55" * 500 + whole[at + 2000 :], whole[:-700], whole[: at + 60]):
+        with pytest.raises(ValueError, match="byte"):
+            read(damaged)
+
+
+def test_letters_by_unicode_category():
+    assert not any(map(language.has_letter, ["", "12 !!", "½ ² Ⅷ ٣", "\u0301\u0308", "_", "😀"]))
+    assert all(map(language.has_letter, ["½a", "é", "日", "ª", "Ⅷ ж"]))
+
+
 def test_byte_bpe(spark, docs, texts, empty):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
