@@ -122,3 +122,45 @@ def test_gap_between_versions(star):
     hit = F.col("passenger_key") == first["passenger_key"]
     p = star.dim_passenger.withColumn("valid_to", F.when(hit, F.date_sub("valid_to", 1)).otherwise(F.col("valid_to")))
     assert _only(Q.dq_contiguous_versions(_with(star, dim_passenger=p))) == 1
+
+
+def test_checks_planned_together_equal_the_checks_one_by_one(star):
+    """On good data, and on a copy in which every table is damaged in several ways, NULLs among them."""
+    fact, p, b = star.fact_bookings, star.dim_passenger, star.stg_bookings
+    nth = lambda df, key, k: df.orderBy(key).limit(k)
+    damaged = _with(
+        star,
+        stg_bookings=b.withColumn("fare_amount", F.when(F.pmod(F.crc32("booking_id"), F.lit(50)) == 0, F.lit(None)).otherwise(F.col("fare_amount")))
+        .withColumn("status", F.when(F.pmod(F.crc32("booking_id"), F.lit(41)) == 0, F.lit(None)).otherwise(F.col("status"))).unionByName(nth(b, "booking_id", 3)),
+        stg_passengers=star.stg_passengers.withColumn("loyalty_tier", F.when(F.pmod(F.crc32("passenger_id"), F.lit(9)) == 0, F.col("passenger_id")).otherwise(F.col("loyalty_tier"))),
+        dim_date=star.dim_date.where("month(date_day) != 3").unionByName(star.dim_date.limit(2)),
+        dim_route=star.dim_route.withColumn("route_type", F.lit("ODD")).where("origin != 'N1'"),
+        dim_passenger=p.withColumn("valid_to", F.when(F.pmod(F.crc32("passenger_key"), F.lit(7)) == 0, F.col("valid_from")).otherwise(F.col("valid_to")))
+        .withColumn("is_current", F.col("is_current") | (F.pmod(F.crc32("passenger_key"), F.lit(5)) == 0)).unionByName(nth(p, "passenger_key", 4).withColumn("valid_from", F.lit(None).cast("date"))),
+        fact_bookings=fact.withColumn("passenger_key", F.when(F.pmod(F.crc32("booking_id"), F.lit(11)) == 0, F.lit(UNKNOWN_KEY)).when(F.pmod(F.crc32("booking_id"), F.lit(13)) == 0, F.lit("gone")).otherwise(F.col("passenger_key")))
+        .withColumn("status", F.when(F.pmod(F.crc32("booking_id"), F.lit(17)) == 0, F.col("booking_id")).otherwise(F.col("status"))).unionByName(nth(fact, "booking_id", 5)),
+        mart_daily_route_revenue=star.mart_daily_route_revenue.withColumn("cancellation_rate", F.lit(-1.0)).where("origin != 'N2'"),
+    )
+    for copy in (star, damaged):
+        for extended in (True, False):
+            together, each = Q.dq_summary(copy, extended), Q.dq_each(copy, extended)
+            assert _violations(together) == _violations(each) and together.count() == each.count()
+    found = _violations(Q.dq_summary(damaged))
+    assert sum(v > 0 for v in found.values()) >= 20, found
+
+
+def test_fares_that_are_all_null_do_not_reconcile(star):
+    fact = star.fact_bookings.withColumn("fare_amount", F.lit(None).cast("decimal(10,2)"))
+    assert _only(Q.dq_fact_reconciles(_with(star, fact_bookings=fact))) == 1
+    assert _violations(Q.dq_summary(_with(star, fact_bookings=fact)))[("fact_reconciles_to_silver", "fact_bookings")] == 1
+
+
+def test_null_status_is_invalid(star):
+    b = star.stg_bookings.withColumn("status", F.lit(None).cast("string"))
+    assert _violations(Q.dq_silver_valid(_with(star, stg_bookings=b)))[("silver_rows_valid", "stg_bookings")] == b.count()
+
+
+def test_summary_scans_each_table_few_times(star):
+    plan = Q.dq_summary(star)._jdf.queryExecution().sparkPlan().toString()
+    scans = {name: plan.count(f"/{name}-") for name in ("stg-bookings", "stg-passengers", "dim-date", "dim-route", "dim-passenger", "fact-bookings", "mart-route", "mart-tier")}
+    assert scans["fact-bookings"] <= 3 and scans["dim-passenger"] <= 4 and scans["dim-route"] <= 2 and scans["dim-date"] <= 2 and scans["mart-route"] == scans["mart-tier"] == 1, scans
