@@ -13,6 +13,10 @@ with ``right_time <= t`` -- without emitting (left, right) pairs. The distinct (
 unioned with the history, one window per key carries the latest history struct forward, and the
 result is equi-joined back. Probes are de-duplicated first (a partial aggregate), so a key with a
 huge number of left rows still contributes at most one probe per distinct time.
+
+``interval_merge_join``: the point-in-time join for histories without a bound on a key's versions. Facts and
+windows are sorted together by (key, time) and swept forward once; no pair of a fact and a version
+is made but the one that matches.
 """
 
 from __future__ import annotations
@@ -46,6 +50,56 @@ def point_in_time_join(
     return facts.join(salted, cond, how).drop(SALT)
 
 
+def interval_merge_join(
+    facts: DataFrame,
+    versions: DataFrame,
+    fact_key: str,
+    fact_time: str,
+    version_key: str,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+) -> DataFrame:
+    """``point_in_time_join`` (left) by one forward sweep; the windows of a key must not overlap.
+
+    Facts and window starts are range-partitioned together on (key, time), ties broken by a hash of the row, so a
+    key with any number of versions and facts spans as many slices as it needs. Within a slice the last window opened is
+    carried forward; the window that is open where a slice begins comes from a boundary table of one row a slice. A
+    fact takes that window if it is not closed yet. Empty windows match nothing; facts without key or time keep NULLs.
+    """
+    from ..session import materialize
+    from ..sources.files import slice_count
+
+    fact_row = F.struct(*[F.col(c) for c in facts.columns])
+    version_row = F.struct(*[F.col(c) for c in versions.columns])
+    rows = facts.select(
+        F.col(fact_key).alias("__k"), F.col(fact_time).alias("__t"), F.lit(1).alias("__side"),
+        F.xxhash64(*facts.columns).alias("__tie"), fact_row.alias("__fact"),
+    )
+    opened = versions.where(F.col(valid_from) < F.col(valid_to)).where(F.col(version_key).isNotNull()).select(
+        F.col(version_key).alias("__k"), F.col(valid_from).alias("__t"), F.lit(0).alias("__side"),
+        F.lit(0).cast("bigint").alias("__tie"), version_row.alias("__open"),
+    )
+    both = opened.unionByName(rows, allowMissingColumns=True)
+    order = ["__k", "__t", "__side", "__tie"]
+    ranged = both.repartitionByRange(slice_count(facts, versions), *order)
+    swept = materialize(ranged.withColumn("__part", F.spark_partition_id()), "interval-merge")
+
+    start = F.when(F.col("__side") == 0, F.struct("__k", "__t"))
+    last = swept.groupBy("__part").agg(F.max_by(F.when(F.col("__side") == 0, F.struct("__k", "__open")), start).alias("__last"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
+    carry = last.select("__part", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    forward = Window.partitionBy("__part", "__k").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        swept.withColumn("__here", F.last("__open", ignorenulls=True).over(forward))
+        .where(F.col("__side") == 1)
+        .join(F.broadcast(carry), "__part", "left")
+        .withColumn("__v", F.coalesce("__here", F.when(F.col("__k") == F.col("__carry.__k"), F.col("__carry.__open"))))
+    )
+    in_force = F.when(F.col("__t") < F.col(f"__v.{valid_to}"), F.col("__v"))
+    found = found.select("__fact", in_force.alias("__v"))
+    return found.select(*[F.col(f"__fact.{c}").alias(c) for c in facts.columns], *[F.col(f"__v.{c}").alias(c) for c in versions.columns])
+
+
 def asof_lookup(
     probes: DataFrame,
     history: DataFrame,
@@ -106,6 +160,7 @@ def asof_lookup_ranged(
     a size bound known from the partition count), used when it belongs to the same key.
     """
     from ..session import materialize
+    from ..sources.files import slice_count
 
     distinct_probes = probes.select(*key, F.col(probe_time).alias("__t")).distinct()
     hist = history.where(F.col(history_time).isNotNull()).select(
@@ -116,8 +171,7 @@ def asof_lookup_ranged(
         *key, "__t", F.lit(1).alias("__side"), F.lit(None).cast(hist.schema["__val"].dataType).alias("__val")
     )
     order = [*key, "__t", "__side"]
-    slices = int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = hist.unionByName(lookups).repartitionByRange(slices, *order)
+    ranged = hist.unionByName(lookups).repartitionByRange(slice_count(probes, history), *order)
     events = materialize(ranged.withColumn("__part", F.spark_partition_id()), "asof-events")
 
     keys = F.struct(*[F.col(k) for k in key])

@@ -100,9 +100,9 @@ def scd2(
 # cannot skew.
 def _ordered_ids(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     from ..session import materialize
+    from ..sources.files import slice_count
 
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(slice_count(df), *order).sortWithinPartitions(*order)
     tagged = ranged.select("*", F.monotonically_increasing_id().alias("__id"), F.spark_partition_id().alias("__part"))
     t = materialize(tagged, name)
     bounds = t.groupBy("__part").agg(F.min("__id").alias("__lo"), F.max("__id").alias("__hi"))

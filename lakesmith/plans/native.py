@@ -18,7 +18,7 @@ from ..functions.keys import UNKNOWN_KEY, date_key
 from ..operators import checks as C
 from ..operators.dedupe import dedupe_latest
 from ..operators.dims import calendar_bounds, date_spine, dim_date
-from ..operators.pit import asof_lookup_ranged, point_in_time_join
+from ..operators.pit import asof_lookup_ranged, interval_merge_join, point_in_time_join
 import datetime as dt
 
 from ..operators.scd2 import scd2, scd2_ranged
@@ -90,6 +90,18 @@ def purchases_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def purchases_in_force_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's version in force at its instant. Versions are of event-time grain, so a user
+    may have any number of them, and of purchases: the join is a forward sweep."""
+    versions = user_state_scd2_ts(spark, sf_dir).select(
+        "user_key", F.col("user_id").alias("__uid"), "valid_from", "valid_to", F.col("event_type").alias("state_in_force")
+    )
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    purchases = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    j = interval_merge_join(purchases, versions, "user_id", "ts", "__uid")
+    return j.select("event_id", "user_id", "ts", "value", "user_key", "valid_from", "valid_to", "state_in_force")
+
+
 def lineitem_ship_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag",

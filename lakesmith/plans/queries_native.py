@@ -17,6 +17,7 @@ for _name, _fn in [
     ("events_user_scd2", N.user_state_scd2),
     ("events_user_scd2_ts", N.user_state_scd2_ts),
     ("events_pit_purchases", N.purchases_in_force),
+    ("events_pit_purchases_ts", N.purchases_in_force_ts),
     ("events_asof_prior_event", N.purchases_prior_event),
     ("lineitem_ship_mart", N.lineitem_ship_mart),
     ("dq_tpch", N.dq_tpch),

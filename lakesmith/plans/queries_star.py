@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import UNKNOWN_KEY
-from ..operators.pit import point_in_time_join
+from ..operators.pit import interval_merge_join
 from ..operators.scd2 import change_detection
 from . import silver as S
 from . import star as T
@@ -97,7 +97,7 @@ def q_pit_join_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions = T.passenger_versions(stg_p).select(
         "passenger_key", F.col("passenger_id").alias("v_passenger_id"), "valid_from", "valid_to", "loyalty_tier"
     )
-    j = point_in_time_join(
+    j = interval_merge_join(
         stg_b.select("booking_id", "passenger_id", "booking_date"), versions,
         "passenger_id", "booking_date", "v_passenger_id",
     )

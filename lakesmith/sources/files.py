@@ -15,6 +15,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes of input for a slice of a range partitioning.
+SLICE_BYTES = 128 << 20
+
+
+def input_bytes(*frames: DataFrame) -> int:
+    """Bytes of the files that the frames scan, whatever is done with them afterwards."""
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if leaf.getClass().getSimpleName() == "LogicalRelation":
+                total += int(str(leaf.stats().sizeInBytes()))
+    return total
+
+
+def slice_count(*frames: DataFrame, slice_bytes: int = SLICE_BYTES) -> int:
+    """Slices for an explicit range partitioning, which adaptive execution does not split: one for each ``slice_bytes``
+    that the frames scan, and at least ``spark.sql.shuffle.partitions``."""
+    least = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(least, -(-input_bytes(*frames) // slice_bytes))
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
@@ -46,8 +68,7 @@ def read_text_csv(
 
 
 def _cluster(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return df.repartitionByRange(slices, *[F.col(c) for c in columns])
+    return df.repartitionByRange(slice_count(df), *[F.col(c) for c in columns])
 
 
 def write_text_csv(
@@ -77,7 +98,7 @@ def write_parquet(
     """Overwrite a Parquet directory; optionally Hive-partitioned.
 
     For a partitioned write the rows are first *range*-partitioned on the partition value plus
-    ``cluster_by`` (for example the row key) into ``spark.sql.shuffle.partitions`` slices: every
+    ``cluster_by`` (for example the row key) into ``slice_count`` slices: every
     task covers a contiguous slice of partition values and writes one file per value it holds,
     while a single very large partition value is still split across several tasks by the sampled
     range bounds. The slice count is explicit because adaptive coalescing would otherwise merge

@@ -36,7 +36,7 @@ from ..operators.classify import classify, quarantine
 from ..operators.cleanse import cleanse
 from ..operators.dedupe import dedupe_latest
 from ..plans import silver as S
-from ..sources.files import text_schema
+from ..sources.files import slice_count, text_schema
 from ..sources.landing import BOOKING_COLUMNS
 
 
@@ -100,9 +100,8 @@ def _stage(
 
 
 def _write_silver(df: DataFrame, path: str) -> None:
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     (
-        df.repartitionByRange(slices, "booking_date", "booking_id").write.mode("overwrite")
+        df.repartitionByRange(slice_count(df), "booking_date", "booking_id").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("booking_date").parquet(path)
     )
 

@@ -89,6 +89,13 @@ SELECT * RENAME (first_seen AS first_seen_ts) FROM ({islands(
     "TIMESTAMP '1900-01-01 00:00:00'", "TIMESTAMP '9999-12-31 00:00:00'", "user_")})
 """
 
+SQL["events_pit_purchases_ts"] = f"""
+WITH versions AS ({SQL["events_user_scd2_ts"]})
+SELECT e.event_id, e.user_id, e.ts, e.value, v.user_key, v.valid_from, v.valid_to, v.event_type AS state_in_force
+FROM events e LEFT JOIN versions v ON v.user_id = e.user_id AND v.valid_from <= e.ts AND e.ts < v.valid_to
+WHERE e.event_type = 'purchase'
+"""
+
 SQL["events_asof_prior_event"] = """
 WITH others AS (
   SELECT user_id, ts, event_type AS prior_event_type FROM (

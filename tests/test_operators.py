@@ -219,3 +219,41 @@ def test_asof_ranged_with_probes_far_after_the_history(spark):
             assert {(r[0], r[1]) for r in found.groupBy("asof_v").count().collect()} == {("v1", 2000)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_interval_merge_of_a_long_history(spark):
+    """One key with 10,000 versions and 100,000 facts, and small ones with gaps, empty windows and NULLs."""
+    import bisect
+    import time
+
+    from lakesmith.operators.pit import interval_merge_join
+
+    starts = list(range(5, 300_005, 30))
+    windows = [("hot", s, s + 20 + (s % 3) * 5, f"v{s}") for s in starts]
+    windows += [("a", 10, 20, "a1"), ("a", 20, 20, "empty"), ("a", 30, 1000, "a2"), ("b", 0, 5, "b1"), (None, 0, 1000, "none")]
+    facts = [("hot", (i * 7919) % 300_100, i) for i in range(100_000)]
+    facts += [(k, t, 200_000 + i) for i, (k, t) in enumerate([("a", 9), ("a", 10), ("a", 19), ("a", 20), ("a", 29), ("a", 30), ("a", 999), ("a", 1000), ("b", 4), ("b", 5), ("c", 1), (None, 3), ("a", None)] * 2)]
+    v = spark.createDataFrame(windows, "vk string, valid_from long, valid_to long, name string")
+    f = spark.createDataFrame(facts, "fk string, t long, n long")
+    began = time.time()
+    got = {r.n: (r.fk, r.t, r.name) for r in interval_merge_join(f, v, "fk", "t", "vk").collect()}
+    assert time.time() - began < 60 and len(got) == len(facts)
+    by_key = {}
+    for k, lo, hi, name in windows:
+        if k is not None and lo < hi:
+            by_key.setdefault(k, []).append((lo, hi, name))
+    for k, t, n in facts:
+        own = by_key.get(k, [])
+        at = bisect.bisect_right(own, (t, float("inf"), "")) - 1 if t is not None else -1
+        assert got[n] == (k, t, own[at][2] if at >= 0 and t < own[at][1] else None)
+
+
+def test_slices_grow_with_the_bytes(spark, tmp_path):
+    from lakesmith.sources import files
+
+    spark.range(200_000).selectExpr("id", "sha2(cast(id as string), 256) AS h").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    size = files.input_bytes(df.where("id > 5").select("h"))
+    assert size > 5_000_000 and files.slice_count(df) == 8
+    assert files.slice_count(df, slice_bytes=size // 20) >= 20
+    assert files.input_bytes(spark.range(5)) == 0
