@@ -29,6 +29,7 @@ def all_queries() -> dict[str, QueryFn]:
     from . import (  # noqa: F401
         queries_checks,
         queries_io,
+        queries_late,
         queries_native,
         queries_silver,
         queries_star,

@@ -52,3 +52,6 @@ FROM f_book
 WHERE booking_date_key BETWEEN 19960101 AND 19981231 AND status IN ('CANCELLED', 'FLOWN')
 GROUP BY status
 """)
+sql("incremental_dim_passenger", ("d_pass",), "SELECT * FROM d_pass")
+sql("incremental_fact_bookings", ("f_book",), "SELECT * FROM f_book")
+sql("incremental_mart_loyalty_tier", ("m_tier",), "SELECT * FROM m_tier")
