@@ -7,12 +7,17 @@ at most e. So the documents' q-grams are looked up among the items', the hits ar
 counted in bands of 2e diagonals, one every e, and stretches of an item with too few hits
 in a band are out. The rest are aligned in the band, for all their starts at once, and kept if the edits are in the budget.
 
-Texts are compared as characters with A-Z lower-cased and each ASCII white space as a space.
+Texts are compared as characters with A-Z lower-cased; a run of ASCII white space is one space, and of a run of another character
+that is no letter or digit the first ``RUN`` count, so that indents and rules match as one and a text of them has few hits; places are
+given in the text as it is.
+Hits are met in portions of ``MOST_HITS`` at most, by documents and then by items.
 The benchmark is the stated query set: it is held by every task in blocks of at most ``block_chars``
 characters, and a larger benchmark takes one pass over the documents for each block.
 
-An item of fewer than ``least_item`` characters, which the bound on q-grams does not reach, is leaked where it stands whole and
-unchanged between word ends (letters and digits of scripts that space their words); at its edges white space does not count.
+An item of fewer than ``least_item`` characters, for which q-grams of that length are too long, takes shorter ones: with a budget of e
+edits one of its e + 1 disjoint parts stands unchanged (q = floor(L / (e + 1)) keeps the bound at one), and the whole item is
+aligned around each. Where its budget is no edit at all it is leaked where it stands whole between word ends (letters
+and digits of scripts that space their words). At its edges white space does not count.
 
 Defined results: null and empty texts leak nothing; items with null text or without a letter or digit are no evidence if so short, and
 are left out; repeated rows and equal or null ids are judged row by row; an item that occurs in several places of a document
@@ -34,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 Q, STRETCH, EDIT_RATE, LEAST_ITEM = 10, 80, 0.0625, 20
-BLOCK_CHARS, CHUNK_BYTES, SIEVE_BITS = 4_000_000, 1 << 20, 22
+BLOCK_CHARS, CHUNK_BYTES, SIEVE_BITS, MOST_HITS, RUN = 4_000_000, 1 << 20, 22, 1 << 21, 3
 LOWER = np.arange(128, dtype=np.uint32)
 LOWER[65:91] += 32
 LOWER[9:14] = 32
@@ -46,6 +51,19 @@ def characters(text: str) -> np.ndarray:
     return np.where(found < 128, LOWER[np.minimum(found, 127)], found)
 
 
+def compared(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The characters that are compared, and the place of each in the text (and the text's end)."""
+    codes = characters(text)
+    at = np.arange(len(codes))
+    if len(codes):
+        begins = np.concatenate([[True], codes[1:] != codes[:-1]])
+        nth = at - np.maximum.accumulate(np.where(begins, at, 0))
+        kinds, of = np.unique(codes, return_inverse=True)
+        most = np.array([1 if c == 32 else len(codes) if chr(c).isalnum() else RUN for c in kinds.tolist()])
+        at = at[nth < most[of]]
+    return codes[at], np.append(at, len(codes))
+
+
 def grams(codes: np.ndarray, q: int = Q) -> np.ndarray:
     """A 64-bit name of the q-gram at each place."""
     if len(codes) < q:
@@ -91,8 +109,9 @@ class Items:
 
     @classmethod
     def of(cls, rows: list[tuple], least_item: int = LEAST_ITEM) -> Items:
-        brief = [(i, characters(t.strip())) for i, t in rows if t is not None and len(t) < least_item and any(c.isalnum() for c in t)]
-        rows = [(i, c) for i, t in rows if t is not None and len(c := characters(t)) >= least_item]
+        rows = [(i, compared(t.strip())[0], t) for i, t in rows if t is not None]
+        brief = [(i, c) for i, c, t in rows if len(c) < least_item and any(x.isalnum() for x in t)]
+        rows = [(i, c) for i, c, _ in rows if len(c) >= least_item]
         codes = [c for _, c in rows]
         own = [grams(c) for c in codes]
         names = np.concatenate([*own, np.zeros(0, np.uint64)])
@@ -129,7 +148,32 @@ def _met(names: np.ndarray, at: np.ndarray, known: np.ndarray) -> tuple[np.ndarr
     return np.repeat(at, many), np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
 
 
-def _whole(text: np.ndarray, base: np.ndarray, items: Items) -> list[tuple]:
+def _aligned(text: np.ndarray, letters: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each item against the text around ``at`` (where its first character would be), within first..last: least edits, and start and end there.
+
+    Starts and ends are taken at the place of fewest edits, nearest to the item's own length."""
+    offs = np.arange(-edits, edits + 1)
+    cost, start = np.zeros((len(at), len(offs)), np.int32), np.broadcast_to(offs, (len(at), len(offs))).copy()
+    padded = np.append(text, np.uint32(0xFFFFFFFF))
+    for k in range(letters.shape[1]):
+        place = at[:, None] + k + offs
+        inside = (place >= first[:, None]) & (place < last[:, None])
+        through = cost + ~(padded[np.where(inside, place, len(text))] == letters[:, k : k + 1])
+        skipped = np.full_like(cost, 1 << 20)  # the item's character left out: one diagonal lower
+        skipped[:, :-1] = cost[:, 1:] + 1
+        begun = start.copy()
+        begun[:, :-1] = np.where(skipped[:, :-1] < through[:, :-1], start[:, 1:], start[:, :-1])
+        cost, start = np.minimum(through, skipped), begun
+        for j in range(1, len(offs)):  # characters of the text left out
+            better = cost[:, j - 1] + 1 < cost[:, j]
+            cost[:, j] = np.where(better, cost[:, j - 1] + 1, cost[:, j])
+            start[:, j] = np.where(better, start[:, j - 1], start[:, j])
+    best = (cost * 100 + np.abs(offs)).argmin(axis=1)
+    row = np.arange(len(at))
+    return cost[row, best], np.maximum(at + start[row, best], first), np.minimum(at + letters.shape[1] + offs[best], last)
+
+
+def _whole(text: np.ndarray, base: np.ndarray, items: Items, edit_rate: float) -> list[tuple]:
     """The places of the short items, as in ``leaks``."""
     found: list[tuple] = []
     if not items.short:
@@ -137,6 +181,10 @@ def _whole(text: np.ndarray, base: np.ndarray, items: Items) -> list[tuple]:
     kinds, of = np.unique(text, return_inverse=True)
     word = np.array([c < 0xE00 and chr(c).isalnum() for c in kinds.tolist()], bool)[of]  # scripts from Thai on: mostly no spaces
     for size, (known, letters, item) in items.short.items():
+        edits = int(size * edit_rate)
+        if edits:
+            found += _parts(text, base, letters, item, edits)
+            continue
         names = grams(text, size)
         at, entry = _met(names, np.arange(len(names)), known)
         row, end = np.searchsorted(base, at, "right") - 1, at + size
@@ -149,15 +197,38 @@ def _whole(text: np.ndarray, base: np.ndarray, items: Items) -> list[tuple]:
     return found
 
 
+def _parts(text: np.ndarray, base: np.ndarray, letters: np.ndarray, item: np.ndarray, edits: int) -> list[tuple]:
+    """The places of short items of one size with up to ``edits`` edits."""
+    found: set[tuple] = set()
+    q = letters.shape[1] // (edits + 1)
+    names = grams(text, q)
+    for part in range(edits + 1):
+        own = np.concatenate([grams(row[part * q : (part + 1) * q], q) for row in letters])
+        order = np.argsort(own, kind="stable")
+        at, entry = _met(names, np.arange(len(names)), own[order])
+        row = np.searchsorted(base, at, "right") - 1
+        inside = at + q <= base[row + 1]
+        at, entry, row = at[inside], order[entry[inside]], row[inside]
+        for lo in range(0, len(at), 1 << 16):
+            s = slice(lo, lo + (1 << 16))
+            cost, start, end = _aligned(text, letters[entry[s]], at[s] - part * q, base[row[s]], base[row[s] + 1], edits)
+            for k in np.flatnonzero((cost <= edits) & (end > start)).tolist():
+                r = int(row[s][k])
+                found.add((r, int(item[entry[s][k]]), int(start[k] - base[r]), int(end[k] - base[r]), int(cost[k])))
+    return list(found)
+
+
 def leaks(texts: list[str], items: Items, stretch: int = STRETCH, edit_rate: float = EDIT_RATE) -> list[tuple]:
     """(row, item index, start and end in the text, least edits) of every leak."""
-    codes = [characters(t) for t in texts]
+    both = [compared(t) for t in texts]
+    codes, places = [c for c, _ in both], [p for _, p in both]
     if not items.ids or not codes:
         return []
     base = np.cumsum([0] + [len(c) for c in codes])
     text = np.concatenate(codes)
     merged: list[tuple] = []
-    for one in sorted(_whole(text, base, items) + _edited(codes, text, base, items, stretch, edit_rate)):
+    found = _whole(text, base, items, edit_rate) + _edited(codes, text, base, items, stretch, edit_rate)
+    for one in sorted((r, k, int(places[r][a]), int(places[r][b - 1]) + 1, e) for r, k, a, b, e in found):
         if merged and merged[-1][:2] == one[:2] and one[2] < merged[-1][3]:
             before = merged.pop()
             one = (*one[:2], before[2], max(before[3], one[3]), min(before[4], one[4]))
@@ -169,12 +240,28 @@ def _edited(codes: list[np.ndarray], text: np.ndarray, base: np.ndarray, items:
     """The places of the other items, some of them twice."""
     names = grams(text)
     maybe = np.flatnonzero(items.sieve[names >> np.uint64(64 - SIEVE_BITS)])
-    at, entry = _met(names, maybe, items.names)
+    row = np.searchsorted(base, maybe, "right") - 1
+    maybe, row = maybe[maybe + Q <= base[row + 1]], row[maybe + Q <= base[row + 1]]  # not over a text's end
+    first, last = (np.searchsorted(items.names, names[maybe], side) for side in ("left", "right"))
+    by_row = np.bincount(row, weights=last - first, minlength=len(codes))
+    found: list[tuple] = []
+    portion, of = np.floor(np.cumsum(by_row) / MOST_HITS), row
+    for p in np.unique(portion[of]) if len(of) else ():
+        some = portion[of] == p
+        hits = int((last - first)[some].sum())
+        lots = max(1, -(-hits // MOST_HITS))  # of one text's hits, by items
+        for lot in range(lots):
+            mine = np.flatnonzero(items.item % lots == lot) if lots > 1 else slice(None)
+            at, entry = _met(names, maybe[some], items.names[mine])
+            entry = mine[entry] if lots > 1 else entry
+            if len(at):
+                found += _banded(codes, base, items, at, entry, stretch, edit_rate)
+    return found
+
+
+def _banded(codes: list[np.ndarray], base: np.ndarray, items: Items, at: np.ndarray, entry: np.ndarray, stretch: int, edit_rate: float) -> list[tuple]:
+    """The places that hits (place in the text, entry of the index) lead to; all hits of a text with an item are there."""
     row = np.searchsorted(base, at, "right") - 1
-    inside = at + Q <= base[row + 1]  # not over a text's end
-    at, entry, row = at[inside], entry[inside], row[inside]
-    if not len(at):
-        return []
     item, place = items.item[entry], items.place[entry]
     sizes = np.array([len(c) for c in items.codes])
     length = np.minimum(stretch, sizes)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc, fresh, give_back, slices, staged
+from .ranges import slice_count
 
 WINDOW, SEED_WORDS = 13, 3
 #: Text bytes of a block, occurrences from which a string's go apart, buckets for a shuffle partition, windows of a string.
@@ -147,8 +148,8 @@ RANGES = "doc_id long, text_hash long, lo int, hi int, digest binary, least arra
 
 def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_hash, lo, hi): the word ranges of every text that are covered by removed windows."""
-    spark = docs.sparkSession
-    buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = slice_count(docs, 3.0)  # packed strings are up to three times the stored texts
+    buckets = SPREAD * partitions
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("text_hash"), F.col(text_column).cast("binary").alias("text"))
     rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
 
@@ -257,7 +258,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
                 if found:
                     yield ranges(found)
 
-    strings = rows.mapInArrow(send, PACKED).repartition("bucket").sortWithinPartitions("bucket")
+    strings = rows.mapInArrow(send, PACKED).repartition(partitions, "bucket").sortWithinPartitions("bucket")
     judged = staged(strings.mapInArrow(judge, RANGES), "judged")
     # its bucket told a hot string's verdict once; its occurrences come in one row a block, from the same reading
     # of the texts, as another reading could cut other blocks, in which other strings are hot
