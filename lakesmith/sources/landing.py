@@ -17,14 +17,13 @@ from pyspark.sql import functions as F
 
 from .tables import table
 
+# The columns of the landing extracts, and the values that they are derived with.
 ROUTE_COLUMNS = ["route_code", "origin", "destination", "distance_miles"]
 BOOKING_COLUMNS = [
     "booking_id", "passenger_id", "route_code", "booking_ts", "travel_date",
     "fare_amount", "currency", "status", "channel", "updated_ts",
 ]
 PASSENGER_COLUMNS = ["passenger_id", "full_name", "email", "loyalty_tier", "home_airport", "updated_at"]
-
-# Fixed values of the landing extracts.
 TIERS_BY_RESIDUE = ["NONE", "BLUE", "SILVER", "GOLD"]  # loyalty tier for key % 4 = 0, 1, 2, 3
 FIRST_LOAD = "2001-09-01"
 SECOND_LOAD = "2001-09-02"
