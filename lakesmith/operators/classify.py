@@ -48,6 +48,16 @@ class MissingAny(Rule):
         return functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
 
 
+@dataclass(frozen=True)
+class Present(Rule):
+    """Violated when ``column`` is not NULL, such as the kept line of a row with too many or too few fields."""
+
+    column: str = ""
+
+    def violated(self, index: int) -> Column:
+        return F.col(self.column).isNotNull()
+
+
 @dataclass(frozen=True)
 class Negative(Rule):
     column: str = ""

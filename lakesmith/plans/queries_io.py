@@ -6,13 +6,16 @@ and returns the DataFrame read back from it.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.accounting import row_count_metric
-from ..session import scratch_path
+from ..operators.accounting import account_by_key, row_count_metric
+from ..operators.classify import quarantine
+from ..session import materialize, scratch_path
 from ..sources.files import read_parquet, read_text_csv, write_parquet, write_text_csv
-from ..sources.landing import BOOKING_COLUMNS, ROUTE_COLUMNS
+from ..sources.landing import BOOKING_COLUMNS, ROUTE_COLUMNS, booking_lines
 from . import silver as S
 from . import star as T
 from . import warehouse as W
@@ -75,3 +78,25 @@ def q_idempotent_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     for c in counts:
         out = out.unionByName(c)
     return out
+
+
+def _malformed_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing bookings written as lines of which some are too wide or too short, read back and classified, staged once."""
+    inputs = S.landing_inputs(spark, sf_dir)
+    path = scratch_path(spark, "landing-booking-lines")
+    booking_lines(inputs.bookings).write.partitionBy("load_date").text(path)
+    read = read_text_csv(spark, path, BOOKING_COLUMNS, ["load_date"], record_column=S.RECORD, header=False)
+    return materialize(S.classify_bookings(replace(inputs, bookings=read)), "classified-lines")
+
+
+@query("malformed_bookings")
+def q_malformed_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine lane of malformed lines: each whole line, as it arrived."""
+    rejected = quarantine(_malformed_classified(spark, sf_dir), BOOKING_COLUMNS, keep=("load_date", S.RECORD))
+    return rejected.where(F.col(S.RECORD).isNotNull()).select(S.RECORD, "load_date", "reject_reason")
+
+
+@query("malformed_accounting")
+def q_malformed_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounting of an extract with malformed lines: each line is silver, rejected or a removed duplicate."""
+    return account_by_key("bookings", _malformed_classified(spark, sf_dir), S.BOOKING_KEY)

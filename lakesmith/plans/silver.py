@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.accounting import account_by_key, identity, row_count_metric
-from ..operators.classify import MissingAny, Negative, NotAccepted, NotInReference, accepted, classify, quarantine
+from ..operators.classify import MissingAny, Negative, NotAccepted, NotInReference, Present, accepted, classify, quarantine
 from ..operators.cleanse import ColumnSpec, cleanse
 from ..operators.dedupe import dedupe_latest
 from ..sources.landing import (
@@ -55,6 +55,9 @@ PASSENGER_SPEC = (
     ColumnSpec("updated_at", cast="date"),
 )
 
+#: Column of an extract that holds the whole line of a row with too many or too few fields, where the reader keeps it.
+RECORD = "malformed_line"
+
 BOOKING_KEY = ("booking_id",)
 BOOKING_ORDER = (("updated_ts", True), ("load_date", True))
 PASSENGER_KEY = ("passenger_id", "updated_at")
@@ -82,6 +85,16 @@ def landing_inputs(spark: SparkSession, sf_dir: str) -> SilverInputs:
     )
 
 
+def kept_columns(df: DataFrame) -> list[str]:
+    """Columns that pass through cleansing and quarantine as they are."""
+    return ["load_date", *([RECORD] if RECORD in df.columns else [])]
+
+
+def with_record_rule(df: DataFrame, rules):
+    """``rules``, led by that for malformed lines where ``df`` keeps them: their values are not to be trusted."""
+    return (Present("malformed_line", column=RECORD), *rules) if RECORD in df.columns else tuple(rules)
+
+
 # ---------------------------------------------------------------------------------------- routes
 def silver_routes(inputs: SilverInputs) -> DataFrame:
     """Routes are reference data: normalised, never quarantined or de-duplicated."""
@@ -90,7 +103,7 @@ def silver_routes(inputs: SilverInputs) -> DataFrame:
 
 # -------------------------------------------------------------------------------------- bookings
 def cleanse_bookings(inputs: SilverInputs) -> DataFrame:
-    return cleanse(inputs.bookings, BOOKING_SPEC, keep=["load_date"])
+    return cleanse(inputs.bookings, BOOKING_SPEC, keep=kept_columns(inputs.bookings))
 
 
 def booking_rules(routes: DataFrame):
@@ -104,7 +117,8 @@ def booking_rules(routes: DataFrame):
 
 
 def classify_bookings(inputs: SilverInputs) -> DataFrame:
-    return classify(cleanse_bookings(inputs), booking_rules(silver_routes(inputs)))
+    cleansed = cleanse_bookings(inputs)
+    return classify(cleansed, with_record_rule(cleansed, booking_rules(silver_routes(inputs))))
 
 
 def dedupe_bookings(classified: DataFrame) -> DataFrame:
@@ -118,7 +132,7 @@ def silver_bookings(inputs: SilverInputs) -> DataFrame:
 
 
 def quarantine_bookings(inputs: SilverInputs) -> DataFrame:
-    return quarantine(classify_bookings(inputs), BOOKING_COLUMNS)
+    return quarantine(classify_bookings(inputs), BOOKING_COLUMNS, keep=kept_columns(inputs.bookings))
 
 
 # ------------------------------------------------------------------------------------ passengers
@@ -130,11 +144,12 @@ PASSENGER_RULES = (
 
 
 def cleanse_passengers(inputs: SilverInputs) -> DataFrame:
-    return cleanse(inputs.passengers, PASSENGER_SPEC, keep=["load_date"])
+    return cleanse(inputs.passengers, PASSENGER_SPEC, keep=kept_columns(inputs.passengers))
 
 
 def classify_passengers(inputs: SilverInputs) -> DataFrame:
-    return classify(cleanse_passengers(inputs), PASSENGER_RULES)
+    cleansed = cleanse_passengers(inputs)
+    return classify(cleansed, with_record_rule(cleansed, PASSENGER_RULES))
 
 
 def dedupe_passengers(classified: DataFrame) -> DataFrame:
@@ -147,7 +162,7 @@ def silver_passengers(inputs: SilverInputs) -> DataFrame:
 
 
 def quarantine_passengers(inputs: SilverInputs) -> DataFrame:
-    return quarantine(classify_passengers(inputs), PASSENGER_COLUMNS)
+    return quarantine(classify_passengers(inputs), PASSENGER_COLUMNS, keep=kept_columns(inputs.passengers))
 
 
 # ------------------------------------------------------------------------------------- accounting

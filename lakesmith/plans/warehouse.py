@@ -101,17 +101,17 @@ def build_silver(spark: SparkSession, inputs: S.SilverInputs, root: str):
     routes = read_parquet(spark, paths.routes)
 
     # bookings: classify once (membership against the written routes), stage, fan out
-    classified_b = classify(S.cleanse_bookings(inputs), S.booking_rules(routes))
+    cleansed_b = S.cleanse_bookings(inputs)
+    classified_b = classify(cleansed_b, S.with_record_rule(cleansed_b, S.booking_rules(routes)))
     write_parquet(classified_b, paths.staged("classified_bookings"))
     cb = read_parquet(spark, paths.staged("classified_bookings"))
     write_parquet(S.dedupe_bookings(cb), paths.bookings, partition_columns=["booking_date"], cluster_by=["booking_id"])
-    write_parquet(quarantine(cb, BOOKING_COLUMNS), paths.quarantine_bookings)
+    write_parquet(quarantine(cb, BOOKING_COLUMNS, keep=S.kept_columns(cb)), paths.quarantine_bookings)
 
-    classified_p = classify(S.cleanse_passengers(inputs), S.PASSENGER_RULES)
-    write_parquet(classified_p, paths.staged("classified_passengers"))
+    write_parquet(S.classify_passengers(inputs), paths.staged("classified_passengers"))
     cp = read_parquet(spark, paths.staged("classified_passengers"))
     write_parquet(S.dedupe_passengers(cp), paths.passengers)
-    write_parquet(quarantine(cp, PASSENGER_COLUMNS), paths.quarantine_passengers)
+    write_parquet(quarantine(cp, PASSENGER_COLUMNS, keep=S.kept_columns(cp)), paths.quarantine_passengers)
 
     silver_b = read_parquet(spark, paths.bookings)
     silver_p = read_parquet(spark, paths.passengers)

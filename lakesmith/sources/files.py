@@ -46,18 +46,27 @@ def read_text_csv(
     path: str,
     columns: Sequence[str],
     partition_columns: Sequence[str] = (),
+    record_column: str | None = None,
+    header: bool = True,
 ) -> DataFrame:
-    """Scan a CSV directory with a header row; every column, partition columns too, is text.
+    """Scan a CSV directory; every column, partition columns too, is text.
 
     A file whose header has other names or another order raises; quotes are escaped by doubling.
+    With ``header=False`` files have no header row.
+
+    A line with too many or too few fields loses or lacks values. ``record_column`` names one more column that
+    holds the whole line of such a row and is NULL for all others; lines stay rows, so none is lost. Spark does not
+    scan that column alone: write the classified rows first, or read it with others.
 
     Leading and trailing blanks are preserved (cleansing decides what to trim); empty fields read
     as NULL.
     """
-    schema = text_schema([*columns, *partition_columns])
+    schema = text_schema([*columns, *([record_column] if record_column else []), *partition_columns])
+    reader = spark.read.schema(schema)
+    if record_column:
+        reader = reader.option("columnNameOfCorruptRecord", record_column)
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        reader.option("header", header)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", False)
         .option("escape", '"')
