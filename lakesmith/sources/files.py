@@ -64,7 +64,8 @@ def read_text_csv(
     schema = text_schema([*columns, *([record_column] if record_column else []), *partition_columns])
     reader = spark.read.schema(schema)
     if record_column:
-        reader = reader.option("columnNameOfCorruptRecord", record_column)
+        # the width of a line is seen only where all its fields are parsed, whatever columns are read
+        reader = reader.option("columnNameOfCorruptRecord", record_column).option("columnPruning", False)
     return (
         reader.option("header", header)
         .option("mode", "PERMISSIVE")
