@@ -6,6 +6,7 @@ and returns the DataFrame read back from it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,3 +101,20 @@ def q_malformed_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_malformed_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounting of an extract with malformed lines: each line is silver, rejected or a removed duplicate."""
     return account_by_key("bookings", _malformed_classified(spark, sf_dir), S.BOOKING_KEY)
+
+
+@query("catalog_star")
+def q_catalog_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star published under catalog names and read by them in SQL: bookings and revenue by route type and tier."""
+    database = f"lakesmith_{uuid.uuid4().hex[:12]}"
+    W.publish(spark, S.landing_inputs(spark, sf_dir), scratch_path(spark, "catalog-root"), database=database)
+    return spark.sql(f"""
+        SELECT r.route_type, p.loyalty_tier, d.year, count(*) AS bookings,
+               count_if(f.is_cancelled) AS cancelled_bookings,
+               sum(CASE WHEN NOT f.is_cancelled THEN f.fare_amount END) AS gross_revenue
+        FROM {database}.fact_bookings f
+        JOIN {database}.dim_route r ON r.route_key = f.route_key
+        JOIN {database}.dim_passenger p ON p.passenger_key = f.passenger_key
+        JOIN {database}.dim_date d ON d.date_key = f.travel_date_key
+        GROUP BY r.route_type, p.loyalty_tier, d.year
+    """).withColumn("gross_revenue", F.col("gross_revenue").cast("decimal(38,2)"))

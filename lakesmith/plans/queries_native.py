@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.parity import symmetric_difference
+from ..operators.parity import bucketed_difference, symmetric_difference
 from ..session import scratch_path
 from ..sources.files import read_text_csv, write_text_csv
 from ..sources.landing import BOOKING_COLUMNS, PASSENGER_COLUMNS, ROUTE_COLUMNS
+from ..sources.tables import table
 from . import native as N
 from . import silver as S
 from .registry import query
@@ -52,3 +54,18 @@ def q_parity_symmetric_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         symmetric_difference(S.silver_routes(extract), S.silver_routes(direct), "silver_routes"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("parity_by_bucket")
+def q_parity_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parity by bucket sums: silver bookings against themselves from CSV (equal) and without their cancelled ones, and
+    orders against orders whose urgent ones have another priority."""
+    direct = S.silver_bookings(S.landing_inputs(spark, sf_dir))
+    extract = S.silver_bookings(csv_extract_inputs(spark, sf_dir))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    lowered = F.when(F.col("o_orderpriority") == "1-URGENT", "2-HIGH").otherwise(F.col("o_orderpriority"))
+    return (
+        bucketed_difference(extract, direct, "silver_bookings")
+        .unionByName(bucketed_difference(direct, direct.where("status <> 'CANCELLED'"), "kept_bookings"))
+        .unionByName(bucketed_difference(orders, orders.withColumn("o_orderpriority", lowered), "orders"))
+    )

@@ -21,6 +21,7 @@ overwrites its folder, so a rebuild over the same inputs is idempotent.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -160,10 +161,17 @@ def write_star(spark: SparkSession, star: T.Star, run_dir: str) -> T.Star:
     )
 
 
-def publish(spark: SparkSession, inputs: S.SilverInputs, root: str, run_id: str | None = None) -> dict:
+def publish(
+    spark: SparkSession, inputs: S.SilverInputs, root: str, run_id: str | None = None, database: str | None = None
+) -> dict:
     """Full rebuild in a run directory of its own; raises ``QualityGateError`` (publishing nothing) on
-    failure, and ``ValueError`` for a ``run_id`` that was published before."""
+    failure, and ``ValueError`` for a ``run_id`` that was published before.
+
+    With ``database``, the run's tables get names in the session's catalog too (``register_tables``); it and ``run_id``
+    then hold letters, digits and ``_`` alone, as the catalog's names do (else ``ValueError``, before any work)."""
     run_id = run_id or uuid.uuid4().hex[:12]
+    if database and not re.fullmatch(r"\w+", f"{database}{run_id}", re.ASCII):
+        raise ValueError(f"{database!r} or {run_id!r} is no part of a catalog name")
     run_dir = _p(root, "runs", run_id)
     if not published_runs(spark, root).where(F.col("run_id") == run_id).isEmpty():
         raise ValueError(f"run {run_id} is published already")
@@ -176,7 +184,24 @@ def publish(spark: SparkSession, inputs: S.SilverInputs, root: str, run_id: str
         F.lit(run_id).alias("run_id"), F.lit(run_dir).alias("path"), F.current_timestamp().alias("published_at")
     )
     pointer.write.mode("append").parquet(_p(root, "current"))
-    return {"run_id": run_id, "run_dir": run_dir, "silver": paths.root, "views": register_views(spark, run_dir)}
+    views = register_tables(spark, root, run_id, run_dir, database) if database else register_views(spark, run_dir)
+    return {"run_id": run_id, "run_dir": run_dir, "silver": paths.root, "views": views}
+
+
+def register_tables(spark: SparkSession, root: str, run_id: str, run_dir: str, database: str) -> list[str]:
+    """Name a published run's tables in the session's catalog, and switch the views of their plain names to them.
+
+    ``<table>__<run>`` is a table over the run's written Parquet files; it stays when later runs are published, so a run can
+    be read by name as long as its folder is kept. The view ``<table>`` reads that of the run registered last. Called
+    after the quality gate only. ``IF NOT EXISTS`` and ``OR REPLACE`` make a repeated call harmless."""
+    location = _p(root, "catalog").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+    for t in STAR_TABLES:
+        path = _p(run_dir, t).replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{t}__{run_id} USING parquet LOCATION '{path}'")
+    for t in STAR_TABLES:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{t} AS SELECT * FROM {database}.{t}__{run_id}")
+    return [f"{database}.{t}" for t in STAR_TABLES]
 
 
 def register_views(spark: SparkSession, run_dir: str, prefix: str = "") -> list[str]:

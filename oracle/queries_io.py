@@ -51,3 +51,11 @@ SELECT 'bookings', 'duplicates_removed', NULL, count(*) - count(DISTINCT booking
 UNION ALL
 SELECT 'bookings', 'rejected_by_reason', reason, count(*) FROM line_reasons WHERE reason IS NOT NULL GROUP BY reason
 """)
+
+sql("catalog_star", ("b_state", "d_route"), """
+SELECT r.route_type, ifnull(b.loyalty_tier, 'UNKNOWN') AS loyalty_tier, CAST(year(b.travel_date) AS INTEGER) AS year,
+       count(*) AS bookings, count(*) FILTER (b.status = 'CANCELLED') AS cancelled_bookings,
+       CAST(sum(b.fare_amount) FILTER (b.status <> 'CANCELLED') AS DECIMAL(38, 2)) AS gross_revenue
+FROM b_state b JOIN d_route r USING (route_code)
+GROUP BY 1, 2, 3
+""")

@@ -107,3 +107,14 @@ purchases AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purch
 SELECT p.event_id, p.user_id, p.ts, o.prior_event_type
 FROM purchases p ASOF LEFT JOIN others o ON p.user_id = o.user_id AND p.ts >= o.ts
 """
+
+sql("parity_by_bucket", ("s_bookings",), """
+SELECT 'silver_bookings' AS table_name, count(*) AS left_rows, count(*) AS right_rows,
+       CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right FROM s_bookings
+UNION ALL
+SELECT 'kept_bookings', count(*), count(*) FILTER (status <> 'CANCELLED'), count(*) FILTER (status = 'CANCELLED'), 0
+FROM s_bookings
+UNION ALL
+SELECT 'orders', count(*), count(*), count(*) FILTER (o_orderpriority = '1-URGENT'),
+       count(*) FILTER (o_orderpriority = '1-URGENT') FROM orders
+""")

@@ -50,3 +50,27 @@ def test_failed_gate_leaves_the_earlier_run(spark, monkeypatch):
     assert read_parquet(spark, W.SilverPaths(first["silver"]).bookings).count() == rows
     with pytest.raises(ValueError):
         W.publish(spark, inputs, root, run_id="good")
+
+
+def test_names_in_the_catalog_switch_only_after_the_gate(spark, monkeypatch):
+    inputs = S.landing_inputs(spark, SF_SMALL)
+    root, name = scratch_path(spark, "test-catalog"), "test_catalog"
+    few = replace(inputs, bookings=inputs.bookings.where("load_date = '2001-09-01'"))
+    read = lambda table: spark.sql(f"SELECT count(*) AS n FROM {name}.{table}").first()["n"]
+    W.publish(spark, few, root, run_id="r_1", database=name)
+    before = read("fact_bookings")
+    with pytest.raises(ValueError):
+        W.publish(spark, few, root, run_id="no-name", database=name)
+    real = W.Q.dq_summary
+    monkeypatch.setattr(W.Q, "dq_summary", lambda star: real(star).withColumn("violations", F.lit(1).cast("bigint")))
+    with pytest.raises(QualityGateError):
+        W.publish(spark, inputs, root, run_id="r_bad", database=name)
+    assert read("fact_bookings") == before
+    assert not spark.catalog.tableExists(f"{name}.fact_bookings__r_bad")
+    monkeypatch.setattr(W.Q, "dq_summary", real)
+    second = W.publish(spark, inputs, root, run_id="r_2", database=name)
+    after = read_parquet(spark, f"{second['run_dir']}/fact_bookings").count()
+    assert read("fact_bookings") == read("fact_bookings__r_2") == after > before
+    assert read("fact_bookings__r_1") == before  # an earlier run stays readable by its name
+    W.register_tables(spark, root, "r_2", second["run_dir"], name)  # repeated without harm
+    assert read("fact_bookings") == after
