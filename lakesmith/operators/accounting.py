@@ -110,6 +110,15 @@ def account_by_key(dataset: str, classified: DataFrame, key, reason_column: str
     )
 
 
+def identity_by_key(dataset: str, classified: DataFrame, key, reason_column: str = REASON) -> DataFrame:
+    """The row of :func:`identity` from the one pass of :func:`account_by_key`."""
+    metrics = account_by_key(dataset, classified, key, reason_column)
+    names = ("landing_rows", "silver_rows", "rejected", "duplicates_removed")
+    t = metrics.groupBy("dataset").agg(*[F.sum(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+    balanced = F.col("landing_rows") == F.col("silver_rows") + F.col("rejected") + F.col("duplicates_removed")
+    return t.withColumn("balanced", balanced)
+
+
 def _metric(name: str, value, reason: str | None = None):
     value = F.col(value) if isinstance(value, str) else value
     why = F.lit(None) if reason is None else F.col(reason)

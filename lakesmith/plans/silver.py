@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.accounting import account_by_key, identity, row_count_metric
+from ..operators.accounting import account_by_key, identity_by_key, row_count_metric
 from ..operators.classify import MissingAny, Negative, NotAccepted, NotInReference, Present, accepted, classify, quarantine
 from ..operators.cleanse import ColumnSpec, cleanse
 from ..operators.dedupe import dedupe_latest
@@ -176,6 +176,5 @@ def accounting_metrics(inputs: SilverInputs) -> DataFrame:
 
 
 def accounting_identity(inputs: SilverInputs) -> DataFrame:
-    b = classify_bookings(inputs)
-    p = classify_passengers(inputs)
-    return identity("bookings", b, dedupe_bookings(b)).unionByName(identity("passengers", p, dedupe_passengers(p)))
+    bookings = identity_by_key("bookings", classify_bookings(inputs), BOOKING_KEY)
+    return bookings.unionByName(identity_by_key("passengers", classify_passengers(inputs), PASSENGER_KEY))

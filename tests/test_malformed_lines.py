@@ -2,7 +2,7 @@
 
 from dataclasses import replace
 
-from lakesmith.operators.accounting import account_by_key
+from lakesmith.operators.accounting import account_by_key, identity, identity_by_key
 from lakesmith.operators.classify import quarantine
 from lakesmith.plans import silver as S
 from lakesmith.plans import warehouse as W
@@ -56,3 +56,17 @@ def test_build_silver_writes_the_lane(spark):
     lane = read_parquet(spark, paths.quarantine_bookings)
     assert lane.where("reject_reason = 'malformed_line'").count() == value["rejected_by_reason", "malformed_line"] > 0
     assert lane.where(f"({S.RECORD} IS NOT NULL) <> (reject_reason = 'malformed_line')").isEmpty()
+
+
+def test_one_pass_identity_equals_the_two_pass_one(spark):
+    inputs = S.landing_inputs(spark, SF_SMALL)
+    classified = materialize(S.classify_bookings(inputs), "identity")
+    want = identity("bookings", classified, S.dedupe_bookings(classified))
+    got = identity_by_key("bookings", classified, S.BOOKING_KEY)
+    assert got.select(*want.columns).collect() == want.collect()
+    assert got.first()["balanced"]
+    scans = got._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert scans == 1
+    # no rows: every count is zero in both
+    empty = classified.limit(0)
+    assert identity_by_key("b", empty, S.BOOKING_KEY).first()[1:5] == identity("b", empty, S.dedupe_bookings(empty)).first()[1:5]
