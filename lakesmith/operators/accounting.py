@@ -7,7 +7,9 @@ handful of rows ever cross a shuffle, whatever the input size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classify import REASON
@@ -62,6 +64,34 @@ def account(dataset: str, classified: DataFrame, silver: DataFrame, reason_colum
     return summary.unionByName(by_reason)
 
 
+def landing_counts(reasons: Sequence[str], reason_column: str = REASON) -> list[Column]:
+    """Aggregates over classified rows for a write to observe: all rows, and those of each declared reason."""
+    reason = F.col(reason_column)
+    return [F.count(F.lit(1)).alias("landing_rows"), *[F.count_if(reason == r).alias(f"rejected: {r}") for r in reasons]]
+
+
+def silver_counts() -> list[Column]:
+    """The aggregate over silver rows for their write to observe."""
+    return [F.count(F.lit(1)).alias("silver_rows")]
+
+
+def observed_metrics(dataset: str, observed: Mapping[str, int], reasons: Sequence[str]) -> list[tuple]:
+    """The rows of :func:`account` from what the writes of the classified and of the silver rows have observed.
+
+    ``observed`` holds the values of :func:`landing_counts` and :func:`silver_counts`. A reason without rows has no row.
+    """
+    by_reason = {r: observed[f"rejected: {r}"] for r in reasons}
+    rejected = sum(by_reason.values())
+    fixed = {
+        "landing_rows": observed["landing_rows"],
+        "silver_rows": observed["silver_rows"],
+        "rejected": rejected,
+        "duplicates_removed": observed["landing_rows"] - rejected - observed["silver_rows"],
+    }
+    rows = [(dataset, metric, None, value) for metric, value in fixed.items()]
+    return rows + [(dataset, "rejected_by_reason", r, n) for r, n in by_reason.items() if n]
+
+
 def row_count_metric(dataset: str, metric: str, df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
         F.lit(dataset).alias("dataset"), F.lit(metric).alias("metric"),

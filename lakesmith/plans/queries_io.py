@@ -81,6 +81,13 @@ def q_idempotent_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query("observed_metrics")
+def q_observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accounting of one silver build, as its writes observed it; no pass of its own reads the tables for it."""
+    paths, _ = W.build_silver(spark, S.landing_inputs(spark, sf_dir), scratch_path(spark, "observed-silver"))
+    return W.read_metrics_json(spark, paths.metrics)
+
+
 def _malformed_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing bookings written as lines of which some are too wide or too short, read back and classified, staged once."""
     inputs = S.landing_inputs(spark, sf_dir)

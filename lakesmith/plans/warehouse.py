@@ -3,11 +3,12 @@
 Every layer is written once and read back by the next one, which cuts the lineage at each layer
 boundary (a lost executor recomputes at most one layer) and means no DataFrame is evaluated twice:
 
-* the classified rows of each dataset are staged once; silver, quarantine and metrics all read
-  the staged table instead of re-running cleanse + classify three times. That costs one columnar
+* the classified rows of each dataset are staged once; silver and quarantine read
+  the staged table instead of re-running cleanse + classify. That costs one columnar
   write, but saves two more parses of the raw CSV and two more passes of the regex guards. The
-  quarantine and metrics reads of the staged table are cheap: quarantine keeps only rejected
-  rows, and metrics read two columns;
+  quarantine read of the staged table is cheap, as it keeps only rejected rows;
+* the metrics need no pass of their own: the writes of the classified and of the silver rows
+  observe their counts, above every shuffle, so a task that is run again is counted once;
 * silver bookings are Hive-partitioned by ``booking_date``; rows are range-partitioned on
   (booking_date, booking_id) first, so tasks write few files and a hot date is split over tasks;
 * silver and star are written to a run directory and checked there. Only when the quality gate
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.accounting import account, row_count_metric
+from ..operators.accounting import METRIC_SCHEMA, landing_counts, observed_metrics, silver_counts
 from ..operators.checks import gate
 from ..operators.classify import classify, quarantine
 from ..sources.files import read_parquet, write_parquet
@@ -86,8 +87,6 @@ def write_metrics_json(metrics: DataFrame, path: str) -> None:
 
 
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
-    from ..operators.accounting import METRIC_SCHEMA
-
     return spark.read.schema(METRIC_SCHEMA).json(path)
 
 
@@ -97,31 +96,39 @@ def build_silver(spark: SparkSession, inputs: S.SilverInputs, root: str):
     Returns the paths and the opened silver tables (bookings, passengers, routes)."""
     paths = SilverPaths(root)
 
-    routes = S.silver_routes(inputs)
-    write_parquet(routes, paths.routes)
+    seen_r = write_parquet(S.silver_routes(inputs), paths.routes, metrics=silver_counts())
     routes = read_parquet(spark, paths.routes)
 
     # bookings: classify once (membership against the written routes), stage, fan out
     cleansed_b = S.cleanse_bookings(inputs)
-    classified_b = classify(cleansed_b, S.with_record_rule(cleansed_b, S.booking_rules(routes)))
-    write_parquet(classified_b, paths.staged("classified_bookings"))
-    cb = read_parquet(spark, paths.staged("classified_bookings"))
-    write_parquet(S.dedupe_bookings(cb), paths.bookings, partition_columns=["booking_date"], cluster_by=["booking_id"])
+    rules_b = S.with_record_rule(cleansed_b, S.booking_rules(routes))
+    reasons_b = list(dict.fromkeys(r.reason for r in rules_b))
+    staged_b = paths.staged("classified_bookings")
+    seen_b = write_parquet(classify(cleansed_b, rules_b), staged_b, metrics=landing_counts(reasons_b))
+    cb = read_parquet(spark, staged_b)
+    latest_b = S.dedupe_bookings(cb)
+    seen_b |= write_parquet(
+        latest_b, paths.bookings, partition_columns=["booking_date"], cluster_by=["booking_id"], metrics=silver_counts()
+    )
     write_parquet(quarantine(cb, BOOKING_COLUMNS, keep=S.kept_columns(cb)), paths.quarantine_bookings)
 
-    write_parquet(S.classify_passengers(inputs), paths.staged("classified_passengers"))
-    cp = read_parquet(spark, paths.staged("classified_passengers"))
-    write_parquet(S.dedupe_passengers(cp), paths.passengers)
+    cleansed_p = S.cleanse_passengers(inputs)
+    rules_p = S.with_record_rule(cleansed_p, S.PASSENGER_RULES)
+    reasons_p = list(dict.fromkeys(r.reason for r in rules_p))
+    staged_p = paths.staged("classified_passengers")
+    seen_p = write_parquet(classify(cleansed_p, rules_p), staged_p, metrics=landing_counts(reasons_p))
+    cp = read_parquet(spark, staged_p)
+    seen_p |= write_parquet(S.dedupe_passengers(cp), paths.passengers, metrics=silver_counts())
     write_parquet(quarantine(cp, PASSENGER_COLUMNS, keep=S.kept_columns(cp)), paths.quarantine_passengers)
 
-    silver_b = read_parquet(spark, paths.bookings)
+    silver_b = read_parquet(spark, paths.bookings, latest_b.schema)  # without rows there is no folder to infer it from
     silver_p = read_parquet(spark, paths.passengers)
-    metrics = (
-        row_count_metric("routes", "silver_rows", routes)
-        .unionByName(account("bookings", cb, silver_b))
-        .unionByName(account("passengers", cp, silver_p))
-    )
-    write_metrics_json(metrics, paths.metrics)
+    rows = [
+        ("routes", "silver_rows", None, seen_r["silver_rows"]),
+        *observed_metrics("bookings", seen_b, reasons_b),
+        *observed_metrics("passengers", seen_p, reasons_p),
+    ]
+    write_metrics_json(spark.createDataFrame(rows, METRIC_SCHEMA), paths.metrics)
     return paths, (silver_b, silver_p, routes)
 
 
