@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.membership import filtered_anti_join
 from ..operators.parity import bucketed_difference, symmetric_difference
 from ..session import scratch_path
 from ..sources.files import read_text_csv, write_text_csv
@@ -69,3 +70,11 @@ def q_parity_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(bucketed_difference(direct, direct.where("status <> 'CANCELLED'"), "kept_bookings"))
         .unionByName(bucketed_difference(orders, orders.withColumn("o_orderpriority", lowered), "orders"))
     )
+
+
+@query("anti_join_filter_first")
+def q_anti_join_filter_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of orders that are not urgent: most are told apart by a filter of the urgent orders' keys, without a shuffle."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    return filtered_anti_join(items, urgent, [("l_orderkey", "o_orderkey")])

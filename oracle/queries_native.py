@@ -118,3 +118,8 @@ UNION ALL
 SELECT 'orders', count(*), count(*), count(*) FILTER (o_orderpriority = '1-URGENT'),
        count(*) FILTER (o_orderpriority = '1-URGENT') FROM orders
 """)
+
+sql("anti_join_filter_first", (), """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey IS NOT NULL) OR l_orderkey IS NULL
+""")

@@ -14,7 +14,7 @@ from tests.conftest import SF_SMALL
 WRITES = {
     "csv_scan_partitioned", "csv_scan_flat", "parquet_roundtrip", "parquet_partition_roundtrip",
     "idempotent_rebuild", "parity_symmetric_diff", "parity_by_bucket", "incremental_silver_bookings",
-    "malformed_bookings", "malformed_accounting", "catalog_star",
+    "malformed_bookings", "malformed_accounting", "catalog_star", "observed_metrics",
 }
 LAZY = sorted(set(E.queries()) - WRITES - {n for n in E.queries() if n.startswith("dq_")})
 
