@@ -13,7 +13,8 @@ the share of the smaller sets' names that both have, 2J / (1 + J) of their estim
 
 The query's edited texts need the next document: rows are range-partitioned and sorted by descending id, each
 row meets the next within its task, and the last row of a task meets the first of the next task's by a join of
-those few rows. Nothing is gathered, and the text is shuffled once.
+those few rows. Nothing is gathered, and the text is shuffled once. Ranges are cut by id and by the text's beginning, so that
+rows with null or equal ids do not go to one task, unless their texts begin alike.
 
 Defined results: a null text is empty; empty texts have an empty fingerprint and likeness 1 among themselves, 0 to others; rows with
 equal ids are ordered by text, null ids come last; a single row is its own next. Extra columns are not read.
@@ -31,10 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, staged
+from .ranges import slice_count
 
 LEVEL, FEW, SIZE, DIGITS = 3, 16, 64, 8
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 NULL_ID = -(2**63)
+#: Code points of a text that, after its id, take part in cutting the ranges.
+BEGIN = 64
 #: Lowest differing bit of two bytes, twice that (for the label) by their exclusive or.
 LOWEST = np.array([0] + [2 * ((x & -x).bit_length() - 1) for x in range(1, 256)], np.uint8)
 BIT = np.array([[(b >> (x // 2)) & 1 for b in range(256)] for x in range(16)], np.uint8)
@@ -192,13 +196,16 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, fingerprint string")
 
 
-def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Fingerprints of all texts, of their edited texts, and likeness to these and to the next text."""
-    spark = docs.sparkSession
+def in_order(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``key`` (null: the least) and ``text`` by descending id and text, in slices."""
     key = F.coalesce(F.col(id_column).cast("long"), F.lit(NULL_ID)).alias("key")
     rows = docs.select(key, F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, F.desc("key")).sortWithinPartitions(F.desc("key"), F.desc("text"))
+    begin = F.substring("text", 1, BEGIN).desc()  # in text order too, but short enough to be sampled
+    return rows.repartitionByRange(slice_count(docs), F.desc("key"), begin).sortWithinPartitions(F.desc("key"), F.desc("text"))
+
+
+def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Fingerprints of all texts, of their edited texts, and likeness to these and to the next text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, ids, texts, begun = TaskContext.get().partitionId(), [], [], False
@@ -223,7 +230,7 @@ def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text_column: str
         lead = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
         return pa.RecordBatch.from_arrays([*lead, *batch.columns], names=["edge", "part", "key", "text", *batch.schema.names])
 
-    done = staged(ordered.mapInArrow(run, f"edge string, part long, key long, text string, {SCHEMA}"), "parsed")
+    done = staged(in_order(docs, id_column, text_column).mapInArrow(run, f"edge string, part long, key long, text string, {SCHEMA}"), "parsed")
     # one first and one last row a task: numbered in order, the last of one meets the first of the next
     order = Window.orderBy("part")
     heads = done.where("edge = 'first'").select("part").withColumn("nth", F.row_number().over(order) - 1)
