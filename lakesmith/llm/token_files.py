@@ -12,7 +12,8 @@ row goes through Spark's committer, so files of lost or repeated attempts are ne
 The first id of each file comes from the manifest's counts (one row a file).
 
 Defined results: a null text is empty; an empty text has only the end id; rows with null ids come
-first; rows with equal ids are ordered by their ids' bytes; extra columns are not read. An empty
+first; rows with equal ids are ordered by their ids' bytes (ranges are cut by these too, so that they do not go to one
+task unless they begin alike); extra columns are not read. An empty
 table makes no files and an empty result.
 """
 
@@ -36,6 +37,8 @@ from .common import crc, filesystem, scratch_uri, slices, staged
 
 MAGIC, FOOT = b"BPK1", 28
 NULL_ID = -(2**63)
+#: Packed bytes of a document that, after its id, take part in cutting the ranges.
+BEGIN = 64
 #: Ids of a block; bytes of text encoded at a time; distinct words whose ids a worker remembers.
 BLOCK_IDS, BLOCK_BYTES, MOST_REMEMBERED = 65536, 4 << 20, 200_000
 #: Packed bytes aimed at for a file, and blocks read at a time by one task.
@@ -221,7 +224,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     encoded = staged(_encoded(docs, vocabulary, end_id, id_column, text_column), "token-ids", codec="zstd")
     total = encoded.agg(F.sum(F.length("ids"))).first()[0] or 0
     files = max(1, math.ceil(total / FILE_BYTES), spark.sparkContext.defaultParallelism)
-    ordered = encoded.repartitionByRange(files, "key").sortWithinPartitions("key", "ids")
+    # packed ids begin in the order of the packed ids: many rows of one id are cut by their ids' beginnings
+    ordered = encoded.repartitionByRange(files, "key", F.substring("ids", 1, BEGIN)).sortWithinPartitions("key", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
