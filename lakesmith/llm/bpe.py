@@ -20,7 +20,6 @@ import hashlib
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -30,10 +29,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import lasting, slices
 
 #: Bytes of text that a task encodes at a time, and distinct pieces whose ids it remembers.
-BLOCK_BYTES, MOST_REMEMBERED = 4 << 20, 500_000
+BLOCK_BYTES, MOST_REMEMBERED = 4 << 20, 200_000
 #: A piece is white space with what follows, up to the next white space or the end of its first run of ASCII and
 #: Latin-1 letters before ASCII punctuation (not the apostrophe) or a digit; no pattern match crosses a piece's end.
 PIECE = re.compile(r"[ \n\r\t]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^ \n\r\t!-&(-@\[-`{-~])|[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
@@ -148,9 +147,9 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
+@lasting
 def encoder(load: Callable[[], dict[bytes, int]], pattern: str) -> Encoder:
-    """One encoder a worker process; its memory of pieces lasts over tasks."""
+    """One encoder a worker process; its memory of pieces lasts over the tasks of this operator."""
     return Encoder(load(), pattern)
 
 
@@ -182,7 +181,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_column:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(load, pattern)
-        for batch in slices(batches, "text", BLOCK_BYTES):
+        for batch in slices(batches, "text", BLOCK_BYTES, keep=encoder):
             ids = own.encode([t or "" for t in batch.column(1).to_pylist()])
             columns = [
                 batch.column(0),

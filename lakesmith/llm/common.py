@@ -8,6 +8,7 @@ import gc
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -62,17 +63,32 @@ def utf8_bytes(array: pa.Array) -> list[bytes | None]:
     return array.cast(kind).to_pylist()
 
 
-def give_back() -> None:
-    """Memory that earlier tasks of this reused Python worker have freed goes back to the system."""
+#: Cached makers of encoders whose memory lasts over the tasks of one operator.
+LASTING: list = []
+
+
+def lasting(make: Callable) -> Callable:
+    """``make`` with its results kept in a worker process, until a task of another operator begins there."""
+    kept = lru_cache(maxsize=2)(make)
+    LASTING.append(kept)
+    return kept
+
+
+def give_back(keep: Callable | None = None) -> None:
+    """Memory of earlier tasks of this reused Python worker goes back to the system, and what other operators than that of
+    ``keep`` remember in it."""
+    for kept in LASTING:
+        if kept is not keep:
+            kept.cache_clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only there with glibc
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The batches again, cut so that no piece holds over ``most_bytes`` of text (or one row)."""
-    give_back()
+def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int, keep: Callable | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches again, cut so that no piece holds over ``most_bytes`` of text (or one row). ``keep``: see ``give_back``."""
+    give_back(keep)
     for batch in batches:
         lengths = pc.binary_length(batch.column(batch.schema.get_field_index(text))).fill_null(0).to_pylist()
         first, total = 0, 0

@@ -25,7 +25,6 @@ import re
 import uuid
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import crc, filesystem, scratch_uri, slices, staged
+from .common import crc, filesystem, lasting, scratch_uri, slices, staged
 
 MAGIC, FOOT = b"BPK1", 28
 NULL_ID = -(2**63)
@@ -192,7 +191,7 @@ class WordEncoder:
         return found
 
 
-@lru_cache(maxsize=2)
+@lasting
 def word_encoder(name: str) -> WordEncoder:
     return WordEncoder(SparkFiles.get(name))
 
@@ -205,7 +204,7 @@ def _encoded(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_encoder(name)
         bits = bits_for(max(own.size, end_id + 1))
-        for batch in slices(batches, "text", BLOCK_BYTES):
+        for batch in slices(batches, "text", BLOCK_BYTES, keep=word_encoder):
             ids = own.encode([t or b"" for t in batch.column(1).to_pylist()], end_id)
             packed = pa.array([pack(np.frombuffer(x, "<u4"), bits) for x in ids], pa.binary())
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())

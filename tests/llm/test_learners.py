@@ -137,3 +137,20 @@ def test_language_decisions_equal_those_by_hand():
     assert got == [slow_language(model, t) for t in texts]
     assert np.mean([g == lang for g, (lang, _) in zip(got, rows, strict=False)]) > 0.97 and len(set(got[len(rows) :])) >= 5
     assert ((scores >= 0) & (scores <= 1)).all()
+
+
+def test_workers_forget_what_other_operators_remember():
+    from lakesmith.llm import common
+
+    made = []
+    one, two = (common.lasting(lambda name, k=k: made.append((k, name)) or name) for k in (1, 2))
+    try:
+        one("a"), two("a"), one("a")
+        common.give_back(keep=one)
+        one("a"), two("a")
+        common.give_back()
+        one("a")
+        assert made == [(1, "a"), (2, "a"), (2, "a"), (1, "a")]
+    finally:
+        common.LASTING.remove(one)
+        common.LASTING.remove(two)
