@@ -105,3 +105,19 @@ def test_unreadable_silver_raises(spark):
                     os.remove(crc)
     with pytest.raises(Exception, match="(?i)parquet|corrupt|read"):
         merge_bookings_batch(inputs.bookings.where(F.col("load_date") == "2001-09-02"), 1, *paths)
+
+
+def test_steps_of_a_batch_that_are_read_again_are_staged(spark):
+    """The batch's latest versions, the silver rows that they replace and the dates of both."""
+    inputs = S.landing_inputs(spark, SF_SMALL)
+    paths = _paths(spark, inputs)
+    days = [inputs.bookings.where(F.col("load_date") == d) for d in ("2001-09-01", "2001-09-02")]
+    merge_bookings_batch(days[0], 0, *paths)
+    before = spark.createDataFrame(spark.read.parquet(paths[1]).select("booking_id", "booking_date").collect(), "booking_id string, booking_date date")
+    merge_bookings_batch(days[1], 1, *paths)
+    latest, affected, dates = (spark.read.parquet(os.path.join(paths[3], f"{x}/epoch=1")) for x in ("latest", "affected", "dates"))
+    ids = {r[0] for r in latest.select("booking_id").collect()}
+    assert len(ids) == latest.count() > 0
+    old = {r.booking_id: r.booking_date for r in before.collect() if r.booking_id in ids}
+    assert old and {r.booking_id: r.booking_date for r in affected.collect()} == old
+    assert {r[0] for r in dates.collect()} == set(old.values()) | {r[0] for r in latest.select("booking_date").collect()}
