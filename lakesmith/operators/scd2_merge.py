@@ -14,7 +14,7 @@ Windows are half-open, contiguous per key and bounded by the number of distinct
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,10 +24,13 @@ from .scd2 import OPEN_END, scd2
 
 
 def merged_versions(
-    history: DataFrame, stored: DataFrame, touched: DataFrame, key: str, tracked: Sequence[str], version: str, surrogate: str, first_seen: str
+    history: DataFrame, stored: DataFrame, touched: DataFrame, key: str, tracked: Sequence[str], version: str, surrogate: str, first_seen: str,
+    staged: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
-    """(the touched keys' versions now, the segments). ``history`` and ``stored`` may be limited to slices that hold all touched keys."""
-    now = scd2(history.join(touched, key, "left_semi"), [key], list(tracked), version, surrogate, first_seen)
+    """(the touched keys' versions now, the segments). ``history`` and ``stored`` may be limited to slices that hold all touched keys.
+
+    ``staged`` writes the versions, which both results are made of, and reads them back."""
+    now = staged(scd2(history.join(touched, key, "left_semi"), [key], list(tracked), version, surrogate, first_seen))
     before = stored.join(touched, key, "left_semi")
     return now, segments(before, now, key, [surrogate, *tracked])
 
@@ -48,6 +51,12 @@ def segments(before: DataFrame, now: DataFrame, key: str, columns: Sequence[str]
     return swept.where(~F.col("old").eqNullSafe(F.col("new")))
 
 
+def narrowed(changes: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Segments whose ``old`` and ``new`` have only these columns; those where none of them differs stay."""
+    cut = lambda c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(f"{c}.{x}").alias(x) for x in columns])).alias(c)
+    return changes.select(key, "seg_from", "seg_to", cut("old"), cut("new"))
+
+
 def reresolved(facts: DataFrame, changes: DataFrame, key: str, time: str) -> DataFrame:
     """``facts`` (with ``key`` and ``time``) that lie in a segment, with its ``old`` and ``new``."""
     other = changes.withColumnRenamed(key, "__seg_key")

@@ -26,7 +26,7 @@ from ..operators.classify import classify
 from ..operators.cleanse import cleanse
 from ..operators.dedupe import dedupe_latest
 from ..operators.dims import unknown_member
-from ..operators.scd2_merge import merged_versions, reresolved, signed, summed
+from ..operators.scd2_merge import merged_versions, narrowed, reresolved, signed, summed
 from ..sources.files import slice_count
 from . import silver as S
 from . import star as T
@@ -120,14 +120,16 @@ class LateLoads:
         stored = self.read("dimension").where(F.col("slice").isin(slices))
         touched = load.select("passenger_id").distinct()
         now, changes = merged_versions(
-            T.stg_passengers(history), stored.drop("slice"), touched, "passenger_id", T.PASSENGER_TRACKED, "updated_at", "passenger_key", "first_seen_date"
-        )
+            T.stg_passengers(history), stored.drop("slice"), touched, "passenger_id", T.PASSENGER_TRACKED, "updated_at", "passenger_key", "first_seen_date",
+            staged=lambda df: self._stage(df, "versions"),
+        )
         changes = self._stage(changes, "changes")  # before the dimension is overwritten
         kept = stored.join(touched, "passenger_id", "left_anti")
         self._write(kept.unionByName(now.withColumn("slice", _slice()).select(*kept.columns)), "dimension", "slice")
 
+        held = narrowed(changes, "passenger_id", ["passenger_key", "loyalty_tier"])  # what the fact and the mart hold of a version
         bookings = self.read("bookings").withColumn("is_cancelled", F.col("status") == "CANCELLED")
-        moved = reresolved(bookings.select("booking_id", "passenger_id", "booking_date", "month", "fare_amount", "is_cancelled"), changes, "passenger_id", "booking_date")
+        moved = reresolved(bookings.select("booking_id", "passenger_id", "booking_date", "month", "fare_amount", "is_cancelled"), held, "passenger_id", "booking_date")
         moved = self._stage(moved, "moved")
 
         rekeyed = moved.where(~F.col("old.passenger_key").eqNullSafe(F.col("new.passenger_key")))
@@ -143,6 +145,7 @@ class LateLoads:
         group = lambda tier, who: [F.col("booking_date"), tier.alias("loyalty_tier"), who.alias("passenger_id")]
         delta = signed(moved, group(old_tier, old_id), group(F.col("new.loyalty_tier"), F.col("passenger_id")), _measures())
         delta = summed(None, delta, ["booking_date", "loyalty_tier", "passenger_id"]).withColumn("month", _month("booking_date"))
+        delta = self._stage(delta, "delta")
         days = self._parts(delta, "month")
         if days:
             state = self.read("tier_state").where(F.col("month").isin(days))

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lakesmith.operators.scd2_merge import segments
+from lakesmith.operators.scd2_merge import narrowed, segments
 from lakesmith.plans import late_loads as L
 from lakesmith.plans import silver as S
 from lakesmith.plans import star as T
@@ -120,3 +120,21 @@ def test_segments_are_the_days_with_another_version(spark):
 @pytest.mark.parametrize("name", ["incremental_dim_passenger", "incremental_fact_bookings", "incremental_mart_loyalty_tier"])
 def test_registered(entry, name):
     assert name in entry.queries() and name in entry.oracle_sql()
+
+
+def test_segments_hold_only_what_is_asked_of_a_version(spark):
+    kind = "struct<k:bigint,tier:string,email:string>"
+    changes = spark.createDataFrame([("p", 1, 2, None, (7, "BLUE", "m")), ("p", 2, 3, (6, None, "m"), (7, "BLUE", "n"))], f"who string, seg_from int, seg_to int, old {kind}, new {kind}")
+    got = narrowed(changes, "who", ["k", "tier"]).orderBy("seg_from").collect()
+    assert [(r.old and tuple(r.old), tuple(r.new)) for r in got] == [(None, (7, "BLUE")), ((6, None), (7, "BLUE"))]
+
+
+def test_steps_of_a_merge_that_are_read_twice_are_written_once(spark, tmp_path):
+    """The touched keys' versions and the mart's signed rows."""
+    inputs = S.landing_inputs(spark, SF_SMALL)
+    state = L.LateLoads(spark, str(tmp_path / "t"), T.stg_bookings(S.silver_bookings(inputs)), T.build_dim_route(T.stg_routes(S.silver_routes(inputs))))
+    first, late = (inputs.passengers.where(f"load_date = '{d}'") for d in ("2001-09-02", "2001-09-01"))
+    state.first(S.silver_passengers(S.SilverInputs(inputs.routes, inputs.bookings, first)))
+    state.merge(late)
+    assert {"versions-1", "delta-1"} <= set(os.listdir(tmp_path / "t" / "_work"))
+    assert set(spark.read.parquet(str(tmp_path / "t" / "_work" / "moved-1")).schema["new"].dataType.names) == {"passenger_key", "loyalty_tier"}
