@@ -138,7 +138,22 @@ class FileReader:
 #: ASCII punctuation (not the apostrophe) or a digit always begins a pre-token after an ASCII or Latin-1 letter. The
 #: letter is looked up behind, as a pattern that begins with the rarer characters is searched for faster.
 WORD_END = re.compile(rb"[!-&(-@\[-`{-~](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
-PLAIN = re.compile(rb"[a-z]+")
+#: Words of a-z and Latin-1 letters are one pre-token each, which only has to be lower-cased and spelt by bytes.
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: Bytes of such letters that the byte-level spelling shows as another character than Latin-1.
+SPELT = {0x9F: 0x141, 0xA0: 0x142, 0xAD: 0x143}
+
+
+class _Known(dict):
+    """A word's ids; those of a word that it lacks are learned."""
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
 
 
 class WordEncoder:
@@ -146,8 +161,8 @@ class WordEncoder:
 
     The vocabulary's normaliser works by character (white space to one space, lower case, NFC, none of which
     crosses ASCII white space) and its pre-tokeniser drops white space, so a text's ids are its
-    words' ids. A text that holds the string of an added token, in whatever case, is encoded whole. Words of a-z
-    alone need neither and go to the library's model as they are. What was
+    words' ids. A text that holds the string of an added token, in whatever case, is encoded whole. Words of Latin-1
+    letters alone go to the library's model, lower-cased and spelt by bytes. What was
     not met in the last blocks is forgotten, so memory is bounded.
     """
 
@@ -160,30 +175,23 @@ class WordEncoder:
         self.default = Tokenizer.from_file(path)
         self.added = [t.content.encode().lower() for t in self.default.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.model = self.library.model
+        self.known, self.older = _Known(self._learn), {}
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > MOST_REMEMBERED:
-            self.older, self.known = self.known, {}
-        new = []
-        for w in words - self.known.keys():
-            if (ids := self.older.get(w)) is not None:
-                self.known[w] = ids
-            elif PLAIN.fullmatch(w):
-                self.known[w] = array("I", [t.id for t in self.library.model.tokenize(w.decode())]).tobytes()
-            else:
-                new.append(w)
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = array("I", e.ids).tobytes()
+    def _learn(self, word: bytes) -> bytes:
+        if (ids := self.older.get(word)) is not None:
+            return ids
+        if not LETTERS.fullmatch(word):
+            return array("I", self.library.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        spelt = word.decode() if word.isascii() else word.decode().lower().encode().decode("latin-1").translate(SPELT)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
     def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
         low = [t.lower() for t in texts]  # of bytes: ASCII alone
         whole = {i for i, t in enumerate(low) if any(a in t for a in self.added)}
         words = [[] if i in whole else WORD_END.sub(rb" \g<0>", t).split() for i, t in enumerate(low)]
-        self._learn(set().union(*words))
+        if len(self.known) > MOST_REMEMBERED:
+            self.older, self.known = self.known, _Known(self._learn)
         get, end = self.known.__getitem__, np.array([end_id], "<u4").tobytes()
         found = [b"".join(map(get, ws)) + end for ws in words]
         for i in whole:
